@@ -1,9 +1,13 @@
 """The queries of this folder and, where SQL can express one, its DuckDB statement."""
 from __future__ import annotations
 
-from . import syncmers
+from . import decontamination, pii, syncmers
 
 QUERIES = {
     "op1_syncmers": syncmers.op1_syncmers,
+    "op2_decontamination": decontamination.op2_decontamination,
+    "op9_pii": pii.op9_pii,
+}
+ORACLES: dict[str, str] = {
+    "op2_decontamination": decontamination.OP2_SQL,
 }
-ORACLES: dict[str, str] = {}
