@@ -1,13 +1,17 @@
 """The queries of this folder and, where SQL can express one, its DuckDB statement."""
 from __future__ import annotations
 
-from . import decontamination, pii, syncmers
+from . import decontamination, licenses, mixing, pii, syncmers, token_counts
 
 QUERIES = {
     "op1_syncmers": syncmers.op1_syncmers,
     "op2_decontamination": decontamination.op2_decontamination,
+    "op4_mixing": mixing.op4_mixing,
+    "op7_token_counts": token_counts.op7_token_counts,
     "op9_pii": pii.op9_pii,
+    "op10_licenses": licenses.op10_licenses,
 }
 ORACLES: dict[str, str] = {
     "op2_decontamination": decontamination.OP2_SQL,
+    "op4_mixing": mixing.OP4_SQL,
 }
