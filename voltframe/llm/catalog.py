@@ -1,11 +1,12 @@
 """The queries of this folder and, where SQL can express one, its DuckDB statement."""
 from __future__ import annotations
 
-from . import decontamination, licenses, mixing, pii, syncmers, token_counts
+from . import decontamination, licenses, mixing, passages, pii, syncmers, token_counts
 
 QUERIES = {
     "op1_syncmers": syncmers.op1_syncmers,
     "op2_decontamination": decontamination.op2_decontamination,
+    "op3_passages": passages.op3_passages,
     "op4_mixing": mixing.op4_mixing,
     "op7_token_counts": token_counts.op7_token_counts,
     "op9_pii": pii.op9_pii,
@@ -13,5 +14,6 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op2_decontamination": decontamination.OP2_SQL,
+    "op3_passages": passages.OP3_SQL,
     "op4_mixing": mixing.OP4_SQL,
 }
