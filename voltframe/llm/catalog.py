@@ -1,7 +1,7 @@
 """The queries of this folder and, where SQL can express one, its DuckDB statement."""
 from __future__ import annotations
 
-from . import decontamination, licenses, mixing, passages, pii, syncmers, token_counts
+from . import decontamination, jaccard, licenses, mixing, passages, pii, syncmers, token_counts
 
 QUERIES = {
     "op1_syncmers": syncmers.op1_syncmers,
@@ -9,6 +9,7 @@ QUERIES = {
     "op3_passages": passages.op3_passages,
     "op4_mixing": mixing.op4_mixing,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op8_jaccard": jaccard.op8_jaccard,
     "op9_pii": pii.op9_pii,
     "op10_licenses": licenses.op10_licenses,
 }
@@ -16,4 +17,5 @@ ORACLES: dict[str, str] = {
     "op2_decontamination": decontamination.OP2_SQL,
     "op3_passages": passages.OP3_SQL,
     "op4_mixing": mixing.OP4_SQL,
+    "op8_jaccard": jaccard.OP8_SQL,
 }
