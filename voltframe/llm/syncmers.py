@@ -20,7 +20,7 @@ from ._common import Ranges, fresh, id_key, let
 
 K, S = 6, 2
 #: Thai, kana and Han characters stand alone.
-_SOLID = r"฀-๿぀-ヿ㐀-鿿"
+_SOLID = r"\u0E00-\u0E7F\u3040-\u30FF\u3400-\u9FFF"
 TOKEN = rf"[{_SOLID}]|[^\x20\x09-\x0D{_SOLID}]{{1,32}}"
 
 
