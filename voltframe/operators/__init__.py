@@ -1 +1 @@
-"""Operators of the engine."""
+"""Relational operators of the engine; each takes and returns DataFrames."""

@@ -1 +1,4 @@
-"""Streaming of the engine."""
+"""Incremental Silver over a landing folder; an extension, as the batch run has no streams."""
+from .incremental import start_refinement
+
+__all__ = ["start_refinement"]
