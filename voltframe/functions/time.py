@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 #: Date, then time to the hour at least, then a fraction and an offset. Group 1 is without the offset.
 ISO = r"^([0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.][0-9]{1,})?)?)?)(Z|[+-][0-9]{2}(?::?[0-9]{2}(?::?[0-9]{2})?)?)?$"
-_PROBE = F.expr("INTERVAL 36 HOURS")
 
 
 @dataclass
@@ -42,7 +41,8 @@ def utc_candidates(wall: Column, zone: str | Column) -> Column:
         offset = F.unix_micros(F.from_utc_timestamp(probe, zone)) - F.unix_micros(probe)
         return F.timestamp_micros(F.unix_micros(wall) - offset)
 
-    both = F.array(with_offset_at(wall - _PROBE), with_offset_at(wall + _PROBE))
+    away = F.expr("INTERVAL 36 HOURS")
+    both = F.array(with_offset_at(wall - away), with_offset_at(wall + away))
     return F.array_distinct(F.filter(both, lambda u: F.from_utc_timestamp(u, zone) == wall))
 
 
