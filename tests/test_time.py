@@ -1,0 +1,72 @@
+from __future__ import annotations
+
+from datetime import datetime, timezone
+from zoneinfo import ZoneInfo
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from voltframe.functions.time import business_day, local_to_utc, parse_local, utc_candidates, utc_text
+
+CASES = [
+    ("2024-10-06T02:30:00", "Australia/Sydney", None, 0),
+    ("2024-04-07T02:30:00", "Australia/Sydney", None, 2),
+    ("2024-10-06T02:30:00", "Australia/Brisbane", "2024-10-05T16:30:00Z", 1),
+    ("2024-04-07T02:30:00", "Australia/Brisbane", "2024-04-06T16:30:00Z", 1),
+    ("2024-01-15T10:00:00", "Australia/Sydney", "2024-01-14T23:00:00Z", 1),
+    ("2024-04-07T01:45:00", "Australia/Lord_Howe", None, 2),
+    ("2011-12-30T12:00:00", "Pacific/Apia", None, 0),
+    ("2024-01-15T10:00:00.250000", "UTC", "2024-01-15T10:00:00.250000Z", 1),
+]
+
+
+@pytest.mark.parametrize(("wall", "zone", "expected", "n"), CASES)
+def test_gaps_and_folds(spark, wall, zone, expected, n):
+    w = parse_local(F.lit(wall)).wall
+    row = spark.range(1).select(utc_text(local_to_utc(w, zone)).alias("u"), F.size(utc_candidates(w, zone)).alias("n")).first()
+    assert (row.u, row.n) == (expected, n)
+
+
+@pytest.mark.parametrize(
+    ("text", "readable", "offset"),
+    [
+        ("2024-01-15T10:00:00", True, False),
+        ("2024-01-15 10:00", True, False),
+        ("2024-01-15T10", True, False),
+        ("2024-01-15T10:00:00.1234567", True, False),
+        ("2024-01-15T10:00:00Z", True, True),
+        ("2024-01-15T10:00:00+10:00", True, True),
+        ("2024-01-15", False, False),
+        ("2024-02-30T10:00:00", False, False),
+        ("0000-01-01T00:00:00", False, False),
+        ("noon", False, False),
+        ("", False, False),
+    ],
+)
+def test_grammar(spark, text, readable, offset):
+    p = parse_local(F.lit(text))
+    assert tuple(spark.range(1).select(p.wall.isNotNull(), p.has_offset).first()) == (readable, offset)
+
+
+ZONES = ["Australia/Sydney", "Europe/Berlin", "America/New_York", "Asia/Kolkata"]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.datetimes(datetime(1990, 1, 1), datetime(2023, 12, 31)), st.sampled_from(ZONES)), min_size=20, max_size=60))
+def test_against_zoneinfo(spark, pairs):
+    pairs = [(d.replace(microsecond=0), z) for d, z in pairs]
+    rows = [(i, d.isoformat(), z) for i, (d, z) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "i int, t string, z string")
+    got = {r.i: r.u for r in df.select("i", utc_text(local_to_utc(parse_local(F.col("t")).wall, F.col("z"))).alias("u")).collect()}
+    for i, (d, z) in enumerate(pairs):
+        zone = ZoneInfo(z)
+        valid = {d.replace(tzinfo=zone, fold=f).astimezone(timezone.utc) for f in (0, 1) if d.replace(tzinfo=zone, fold=f).astimezone(timezone.utc).astimezone(zone).replace(tzinfo=None) == d}
+        assert got[i] == (valid.pop().strftime("%Y-%m-%dT%H:%M:%SZ") if len(valid) == 1 else None)
+
+
+def test_business_day(spark):
+    t = F.lit("2024-01-14 13:30:00").cast("timestamp")
+    row = spark.range(1).select(business_day(t, "Australia/Sydney").cast("string"), business_day(t, "UTC").cast("string")).first()
+    assert tuple(row) == ("2024-01-15", "2024-01-14")
