@@ -23,6 +23,7 @@ named like the added ones are replaced.
 """
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from dataclasses import dataclass, field
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import fresh, table
+from ._common import checkpoint_dir, fresh, table
 from ._hashing import word_hashes
 
 MOST_LABELLED, MOST_POOL = 8_000, 4_000
@@ -47,7 +48,7 @@ WORD = re.compile(r"[^\W\d_]+")
 _CLASSES = np.zeros(256, np.int64)
 for _b in range(256):
     _c = chr(_b)
-    _CLASSES[_b] = 0 if _b >= 128 else 1 if _c.islower() else 2 if _c.isupper() else 3 if _c.isdigit() else 4 if _c in "\n\r" else 5 if _b <= 32 else 6 + (_b - 33) % 64
+    _CLASSES[_b] = 0 if _b >= 128 else 1 if _c.islower() else 2 if _c.isupper() else 3 if _c.isdigit() else 4 if _c in "\n\r" else 5 if _b <= 32 or _b == 127 else 6 + "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~".index(_c)
 _N = int(_CLASSES.max()) + 1
 _BUCKETS = 24  # one-hot places of the language and of the source each
 
@@ -221,26 +222,23 @@ class Model:
         return [one, two]
 
 
-def select_words(sets: list[set[str]], labels: list[np.ndarray]) -> list[str]:
-    """The words most associated (chi-square) with one of the labels, among those frequent enough."""
-    held: dict[str, list[int]] = {}
-    for i, s in enumerate(sets):
-        for w in s:
-            held.setdefault(w, []).append(i)
-    scored = []
-    n = len(sets)
-    for w, rows in held.items():
-        k = len(rows)
-        if k < LEAST_DOCUMENTS:
-            continue
-        best = 0.0
-        for y in labels:
-            p, a = y.sum(), y[rows].sum()
-            if 0 < p < n and k < n:
-                best = max(best, n * (a * (n - p) - (k - a) * p) ** 2 / (p * (n - p) * k * (n - k)))
-        if best >= LEAST_CHI2:
-            scored.append((-best, w))
-    return [w for _, w in sorted(scored)[:MOST_WORDS]]
+def select_words(sample: DataFrame) -> list[str]:
+    """The words of the labelled sample most associated (chi-square) with one of the labels."""
+    marked = sample.filter("labelled")
+    n = F.lit(float(marked.count()))
+    words = marked.select(F.explode("words").alias("word"), (F.col("toxic") > 0).cast("double").alias("y1"), (F.col("quality") <= 0).cast("double").alias("y2"))
+    totals = marked.agg(F.sum((F.col("toxic") > 0).cast("double")).alias("p1"), F.sum((F.col("quality") <= 0).cast("double")).alias("p2")).first()
+    held = words.groupBy("word").agg(F.count("*").cast("double").alias("k"), F.sum("y1").alias("a1"), F.sum("y2").alias("a2"))
+
+    def chi2(a: str, p: float | None):
+        if not p:
+            return F.lit(0.0)
+        a, k, p = F.coalesce(F.col(a), F.lit(0.0)), F.col("k"), F.lit(float(p))
+        below = p * (n - p) * k * (n - k)
+        return F.when(below > 0, n * F.pow(a * (n - p) - (k - a) * p, F.lit(2.0)) / below).otherwise(F.lit(0.0))
+
+    held = held.filter(F.col("k") >= LEAST_DOCUMENTS).withColumn("score", F.greatest(chi2("a1", totals["p1"]), chi2("a2", totals["p2"])))
+    return [r["word"] for r in held.filter(F.col("score") >= LEAST_CHI2).orderBy(F.desc("score"), "word").limit(MOST_WORDS).collect()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, most_pool: int = MOST_POOL) -> Model:
@@ -251,31 +249,35 @@ def fit(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED,
     rest = docs.select("doc_id").join(marks.select("doc_id"), "doc_id", "left_anti").distinct()
     rest = rest.orderBy(F.xxhash64(F.lit("pool"), "doc_id"), "doc_id").limit(most_pool)
     wanted = chosen.withColumn("labelled", F.lit(True)).unionByName(rest.withColumn("labelled", F.lit(False)), allowMissingColumns=True)
-    # at most most_labelled + most_pool rows of four numbers are broadcast, and as many texts fetched
-    rows = docs.join(F.broadcast(wanted), "doc_id").dropDuplicates(["lang", "source", "text", "labelled"]).mapInArrow(
-        _sampled, "doc_id long, labelled boolean, quality int, toxic int, content binary, metadata binary, words array<string>"
-    ).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["words"]))
+    # at most most_labelled + most_pool rows of four numbers are broadcast, and as many texts looked at
+    sample = docs.join(F.broadcast(wanted), "doc_id").dropDuplicates(["lang", "source", "text", "labelled"])
+    sample = sample.mapInArrow(_sampled, "doc_id long, labelled boolean, quality int, toxic int, content binary, metadata binary, words array<string>")
+    checkpoint_dir(docs.sparkSession)
+    sample = sample.checkpoint()
+    model = Model(select_words(sample), np.empty(0, np.int64))
+    # what reaches the driver: compressed features and places of selected words of the sampled rows
+    chosen_words = F.from_json(F.lit(json.dumps(model.vocabulary)), "array<string>")
+    rows = sample.withColumn("words", F.array_intersect("words", chosen_words)).collect()
+    rows.sort(key=lambda r: (r["doc_id"], bytes(r["content"])))
     marked, pool = [r for r in rows if r["labelled"]], [r for r in rows if not r["labelled"]]
-    model = Model([], np.empty(0, np.int64))
     if not marked:
         model.good, model.toxic = Head(rate=1.0), Head(rate=0.0)
         return model
     value = lambda name: np.array([-1 if r[name] is None else r[name] for r in marked])
     quality, toxic = value("quality"), value("toxic")
-    sets = [set(r["words"]) for r in marked]
-    model.vocabulary = select_words(sets, [(toxic == 1).astype(float), (quality == 0).astype(float)])
-    dense = np.stack([np.frombuffer(bytes(r["content"]), np.float32) for r in marked])
-    model.columns = np.flatnonzero((dense > 0).mean(0) >= 0.005)
+    shares = lambda r: np.frombuffer(zlib.decompress(bytes(r["content"])), np.float32)
+    used = np.zeros(_N * _N + 1)
+    for r in marked:
+        used += shares(r) > 0
+    model.columns = np.flatnonzero(used / len(marked) >= 0.005)
     place = {w: i for i, w in enumerate(model.vocabulary)}
 
     def views(some):
         one = np.zeros((len(some), len(model.columns) + len(place)), np.float32)
         for i, r in enumerate(some):
-            one[i, : len(model.columns)] = np.frombuffer(bytes(r["content"]), np.float32)[model.columns]
+            one[i, : len(model.columns)] = shares(r)[model.columns]
             for w in r["words"]:
-                if w in place:
-                    one[i, len(model.columns) + place[w]] = 1
+                one[i, len(model.columns) + place[w]] = 1
         two = np.stack([np.frombuffer(bytes(r["metadata"]), np.float32) for r in some]) if some else np.zeros((0, 2 * _BUCKETS + 6), np.float32)
         return [one, two]
 
@@ -303,7 +305,7 @@ def _sampled(batches):
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
         langs, sources = get("lang").to_pylist(), get("source").to_pylist()
         yield pa.RecordBatch.from_arrays(
-            [get("doc_id"), get("labelled"), get("quality").cast(pa.int32()), get("toxic").cast(pa.int32()), pa.array([content(b).tobytes() for b in raw], pa.binary()), pa.array([metadata(b, a, s).tobytes() for b, a, s in zip(raw, langs, sources, strict=True)], pa.binary()), pa.array([sorted(words_of(t)) for t in texts], pa.list_(pa.string()))],
+            [get("doc_id"), get("labelled"), get("quality").cast(pa.int32()), get("toxic").cast(pa.int32()), pa.array([zlib.compress(content(b).tobytes(), 1) for b in raw], pa.binary()), pa.array([metadata(b, a, s).tobytes() for b, a, s in zip(raw, langs, sources, strict=True)], pa.binary()), pa.array([sorted(words_of(t)) for t in texts], pa.list_(pa.string()))],
             names=["doc_id", "labelled", "quality", "toxic", "content", "metadata", "words"],
         )
 
