@@ -18,6 +18,7 @@ from .contract import ContractError, need
 from .operators.enrich import orphans
 from .operators.upsert import insert_absent, ordered_json, upsert
 from .plans.publish import staged_output
+from .paths import uri
 
 # The states that the tables admit.
 SNAPSHOT_STATES = ("validated", "superseded", "rejected")
@@ -53,7 +54,7 @@ class ControlPlane:
         path = Path(self.root) / name
         if not path.exists():
             return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.schema(TABLES[name]).parquet(path.resolve().as_uri())
+        return self.spark.read.schema(TABLES[name]).parquet(uri(path.resolve()))
 
     def replace(self, name: str, rows: DataFrame) -> None:
         """Check constraints and swap the whole table; readers see the old or the new one."""
@@ -68,7 +69,7 @@ class ControlPlane:
             parent, on = PARENTS[name]
             need(orphans(rows, self.table(parent), on).isEmpty(), f"ORPHAN_ROWS:{name}")
         with staged_output(Path(self.root).resolve() / name) as staging:
-            rows.coalesce(1).write.mode("overwrite").parquet(staging.as_uri())
+            rows.coalesce(1).write.mode("overwrite").parquet(uri(staging))
 
     def upsert_sources(self, definitions: Sequence[dict], by: str, at: Column | None = None) -> None:
         """Insert or replace definitions; target_catalog and target_schema of known sources stay."""

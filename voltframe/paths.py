@@ -1,0 +1,9 @@
+"""Local paths as Spark takes them."""
+from __future__ import annotations
+
+from pathlib import Path
+
+
+def uri(path: str | Path) -> str:
+    """file:// and the path as it is: Hadoop does not decode percent escapes, which Path.as_uri makes."""
+    return f"file://{Path(path).absolute()}"

@@ -15,6 +15,7 @@ from ..operators import spikes
 from ..session import ensure
 from . import layers
 from .publish import join_parts, staged_output
+from ..paths import uri
 
 RESOURCES = Path(__file__).resolve().parent.parent / "resources"
 DEFAULT_METADATA = RESOURCES / "metadata" / "sources.json"
@@ -61,7 +62,7 @@ class _Store:
         self.spark, self.root = spark, root
 
     def write(self, df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
-        path = (self.root / name).as_uri()
+        path = uri(self.root / name)
         writer = df.write.mode("errorifexists")
         (writer.partitionBy(partition) if partition else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
@@ -71,7 +72,7 @@ def _export(df: DataFrame, target: Path, order: list[str]) -> None:
     """JSON lines in total order, one file."""
     folder = target.with_name(f".{target.name}.parts")
     shown = df.orderBy(*order)
-    shown.select(layers.as_json(df.drop("first_seen")).alias("value")).write.text(folder.as_uri())
+    shown.select(layers.as_json(df.drop("first_seen")).alias("value")).write.text(uri(folder))
     join_parts(folder, target)
 
 

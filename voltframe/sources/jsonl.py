@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..contract import Source
 from ..functions.json import NOT_BLANK
+from ..paths import uri
 
 #: Larger files are read in splits.
 WHOLE_FILE_BYTES = 32 << 20
@@ -37,5 +38,5 @@ def numbered_lines(spark: SparkSession, path: str, whole: bool | None = None) ->
 def read_source(spark: SparkSession, source: Source) -> DataFrame:
     if not source.path.exists():
         raise FileNotFoundError(str(source.path))
-    lines = numbered_lines(spark, source.path.as_uri())
+    lines = numbered_lines(spark, uri(source.path))
     return lines.select("source_row_number", "raw_line", F.lit(source.fixture_path).alias("source_file"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..contract import ContractError, Source, check_remote
 from .multirecord import parse_archives
+from ..paths import uri
 
 MOST_RESPONSE_BYTES = 50_000_000
 TIMEOUT_SECONDS = 60
@@ -76,7 +77,7 @@ def read_source(spark: SparkSession, source: Source, get=fetch, landing: str | N
     folder.mkdir(parents=True, exist_ok=True)
     target = folder / Path(urlparse(url).path).name
     target.write_bytes(payload)
-    rows = parse_archives(spark, target.as_uri()).withColumn("source_file", F.lit(url))
+    rows = parse_archives(spark, uri(target)).withColumn("source_file", F.lit(url))
     # one archive is at most 50 MB: numbering it in one task is bounded
     number = F.row_number().over(Window.orderBy("settlement", "region", "intervention"))
     names = sorted(set(rows.columns) - {"settlement", "intervention"})

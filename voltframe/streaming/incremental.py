@@ -17,6 +17,7 @@ from ..functions.json import NOT_BLANK, parse_strict
 from ..operators.dedup import keep_last
 from ..plans import layers
 from ..plans.publish import staged_output
+from ..paths import uri
 
 
 def landed(spark: SparkSession, folder: str, source: Source, ingested_at: str, files_a_batch: int = 100) -> DataFrame:
@@ -29,14 +30,14 @@ def landed(spark: SparkSession, folder: str, source: Source, ingested_at: str, f
 def _merge(batch: DataFrame, batch_id: int, source: Source, output: Path) -> None:
     spark = batch.sparkSession
     accepted, rejected = layers.refine(batch, source)
-    rejected.write.mode("overwrite").parquet((output / "quarantine" / f"batch={batch_id}").as_uri())
+    rejected.write.mode("overwrite").parquet(uri(output / "quarantine" / f"batch={batch_id}"))
     table = output / "silver"
     order = ["ingestion_sequence", "source_file", "source_row_number"]
     kept = keep_last(accepted, source.key_columns, order)
     if table.exists():
-        kept = keep_last(spark.read.schema(kept.schema).parquet(table.as_uri()).unionByName(kept), source.key_columns, order)
+        kept = keep_last(spark.read.schema(kept.schema).parquet(uri(table)).unionByName(kept), source.key_columns, order)
     with staged_output(table) as staging:
-        kept.write.mode("overwrite").parquet(staging.as_uri())
+        kept.write.mode("overwrite").parquet(uri(staging))
 
 
 def start_refinement(spark: SparkSession, folder: str, source: Source, output: str | Path, checkpoint: str, ingested_at: str) -> StreamingQuery:
