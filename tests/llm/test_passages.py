@@ -74,3 +74,16 @@ def test_hashes_follow_content_only():
     assert h[0] == h[3] and len(set(h.tolist())) == 3
     values = sorted({int(x) for x in mixed(w)})
     assert unpack(pack(w.__class__((len(values),), w.dtype, buffer=__import__("array").array("Q", values)))).tolist() == values
+
+
+def test_long_texts_are_hashed_in_pieces():
+    from voltframe.llm import _hashing
+
+    text = b" ".join(b"word%d" % (i % 977) for i in range(60_000))
+    whole, count = word_hashes([text, b"x", b"", text[:50]])
+    data = b"\n".join([text, b"x", b"", text[:50]])
+    pieces = list(_hashing._segments(data, 1000))
+    assert len(pieces) > 300 and pieces[0][0] == 0 and pieces[-1][1] == len(data)
+    assert count.tolist() == [60_000, 1, 0, len(text[:50].split())]
+    one = {w: word_hashes([w])[0][0] for w in set(text.split())}
+    assert whole[:60_000].tolist() == [one[w] for w in text.split()]

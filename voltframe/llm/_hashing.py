@@ -7,6 +7,8 @@ partition or order enters. Sets of hashes travel between tasks as sorted differe
 """
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import zstandard
 
@@ -18,6 +20,7 @@ _SOLID = ~_SPACE
 _PLAIN = np.arange(256, dtype=np.uint64) + U(1)
 _FOLDED = _PLAIN.copy()
 _FOLDED[65:91] += U(32)
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 #: Bytes of text that are looked at together, unless one text is longer.
 CHUNK = 1 << 20
 
@@ -57,19 +60,35 @@ def chunks(texts: list[bytes], most: int = CHUNK):
         yield begin, len(texts)
 
 
+def _segments(data: bytes, most: int = CHUNK):
+    """Ranges of about `most` bytes that end at white space: a very long text is hashed piece by piece."""
+    at = 0
+    while at < len(data):
+        cut = _BLANK.search(data, at + most)
+        end = cut.start() if cut else len(data)
+        yield at, end
+        at = end
+
+
 def word_hashes(texts: list[bytes], fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts, in order, and the number of words of each text."""
-    data = np.frombuffer(b"\n".join(texts), np.uint8)
-    solid = np.zeros(len(data) + 2, bool)
-    solid[1:-1] = _SOLID[data]
-    edges = np.flatnonzero(solid[1:] != solid[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    up, down = _powers(_R, len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((_FOLDED if fold else _PLAIN)[data] * up[:-1], out=total[1:])
-    words = mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    data = b"\n".join(texts)
+    hashes, begins = [], []
+    for a, b in _segments(data):
+        part = np.frombuffer(data, np.uint8, b - a, a)
+        solid = np.zeros(len(part) + 2, bool)
+        solid[1:-1] = _SOLID[part]
+        edges = np.flatnonzero(solid[1:] != solid[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        up, down = _powers(_R, len(part) + 1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((_FOLDED if fold else _PLAIN)[part] * up[:-1], out=total[1:])
+        hashes.append(mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
+        begins.append(starts + a)
+    words = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+    places = np.concatenate(begins) if begins else np.empty(0, np.int64)
     bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    return words, np.diff(np.searchsorted(starts, bounds))
+    return words, np.diff(np.searchsorted(places, bounds))
 
 
 def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
