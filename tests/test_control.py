@@ -49,6 +49,9 @@ def test_control_plane_from_sources_to_evidence(spark, tmp_path):
     assert (notes["a1"].audit_version, notes["a1"].note, str(notes["a1"].created_at)) == (2, "checked", "2024-01-07 00:00:00")
     assert [r.annotation_id for r in plane.annotation_orphans(gold).collect()] == ["a2"]
 
+    plane.register("control_test")
+    plane.register("control_test")
+    assert spark.table("control_test.pipeline_runs").count() == 1 and spark.table("control_test.operator_annotations").count() == 2
     with pytest.raises(ContractError, match="ORPHAN_ROWS"):
         plane.record_run(result, "s-9")
     with pytest.raises(ContractError, match="INVALID_STATUS"):

@@ -44,6 +44,14 @@ KEYS = {"source_metadata": ["source_id"], "metadata_versions": ["snapshot_id"],
 STATES = {"metadata_versions": SNAPSHOT_STATES, "pipeline_runs": RUN_STATES, "pipeline_run_sources": SOURCE_STATES}
 PARENTS = {"pipeline_runs": ("metadata_versions", {"snapshot_id": "snapshot_id"}), "pipeline_run_sources": ("pipeline_runs", {"run_id": "run_id"})}
 
+COMMENTS = {
+    "source_metadata": "Current definition of each source",
+    "metadata_versions": "Immutable snapshots of definitions that runs name",
+    "pipeline_runs": "One row a run: state, counts, freshness, failure",
+    "pipeline_run_sources": "One row a run and source",
+    "operator_annotations": "Notes on Gold rows, with an audit version",
+}
+
 
 @dataclass
 class ControlPlane:
@@ -71,6 +79,16 @@ class ControlPlane:
         with staged_output(Path(self.root).resolve() / name) as staging:
             rows.coalesce(1).write.mode("overwrite").parquet(uri(staging))
 
+    def register(self, database: str = "control") -> None:
+        """Name the tables in the session's catalogue, with comments; a second call changes nothing."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        for name, schema in TABLES.items():
+            if not (Path(self.root) / name).exists():
+                self.replace(name, self.table(name))
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet LOCATION '{uri((Path(self.root) / name).resolve())}'")
+            self.spark.sql(f"COMMENT ON TABLE {database}.{name} IS '{COMMENTS[name]}'")
+
     def upsert_sources(self, definitions: Sequence[dict], by: str, at: Column | None = None) -> None:
         """Insert or replace definitions; target_catalog and target_schema of known sources stay."""
         schema = T.StructType([f for f in TABLES["source_metadata"] if f.name not in ("updated_at", "updated_by")])
