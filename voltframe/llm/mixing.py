@@ -88,7 +88,8 @@ def sample(docs: DataFrame, **how) -> DataFrame:
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
 OP4_SQL = r"""
@@ -118,7 +119,7 @@ p AS (
          coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null'))
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM d JOIN aims a ON d.source IS NOT DISTINCT FROM a.source)
-SELECT doc_id, size, source_size, target,
+SELECT doc_id, size, source_size, round(target, 6) AS target,
        CAST(whole * size + least(greatest(CAST(round(target - whole * source_size) AS BIGINT) - before, 0), size) AS BIGINT) AS taken
 FROM p
 """
