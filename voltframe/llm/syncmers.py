@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ._common import Ranges, fresh, id_key, let
 
-K, S = 6, 2
+K, S = 5, 2
 #: Thai, kana and Han characters stand alone.
 _SOLID = r"\u0E00-\u0E7F\u3040-\u30FF\u3400-\u9FFF"
 TOKEN = rf"[{_SOLID}]|[^\x20\x09-\x0D{_SOLID}]{{1,32}}"
