@@ -121,6 +121,13 @@ def member(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[at] == values
 
 
+def slices(batches, rows: int = 1000):
+    """Arrow batches in pieces, so that what a task holds of each stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def utf8(column) -> list[bytes]:
     """The values of an Arrow string column as UTF-8; null is empty."""
     import pyarrow as pa
