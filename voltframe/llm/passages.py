@@ -24,12 +24,13 @@ import hashlib
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._common import Ranges, fresh, id_key, table
-from ._hashing import chunks, member, pack, unpack, utf8, window_hashes, word_hashes
+from ._hashing import chunks, member, pack, slices, unpack, utf8, window_hashes, word_hashes
 
 N = 50
 SHARD_BYTES = 4 << 20
@@ -55,6 +56,20 @@ def _windows(texts: list[bytes], n: int):
     return join(words, np.uint64), join(counts, np.int64), join(hashes, np.uint64), join(owner, np.int64), join(start, np.int64)
 
 
+def _compressed(batches):
+    """The same rows with zstd frames for _text: texts cross two shuffles, and are most of what does."""
+    pressed = zstandard.ZstdCompressor(level=3)
+    for batch in slices(batches):
+        at = batch.schema.get_field_index("_text")
+        texts = pa.array([pressed.compress(t) for t in utf8(batch.column(at))], pa.binary())
+        yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
+
+
+def _texts(column) -> list[bytes]:
+    opened = zstandard.ZstdDecompressor()
+    return [b"" if v is None else opened.decompress(v) for v in column.to_pylist()]
+
+
 def _by_shard(batches, columns: list[str], done):
     """Rows arrive ordered by shard; calls done(shard, {column: list}) for each and passes on what it yields."""
     held, now = {c: [] for c in columns}, None
@@ -68,7 +83,7 @@ def _by_shard(batches, columns: list[str], done):
             now = shard[a]
             for c in columns:
                 part = batch.column(batch.schema.get_field_index(c)).slice(a, b - a)
-                held[c].extend(utf8(part) if c == "_text" else part.to_pylist())
+                held[c].extend(_texts(part) if c == "_text" else part.to_pylist())
     if now is not None:
         yield from done(int(now), held)
 
@@ -199,7 +214,9 @@ def _run(docs: DataFrame, n: int, digest: bool, shard_bytes: int) -> DataFrame:
     base = base.withColumn("_shard", cuts.index(F.col("_id")))
     # ranges count from the largest ids; shards from the smallest
     base = base.withColumn("_shard", F.lit(len(cuts) - 1) - F.col("_shard"))
-    ranges = int(min(4096, max(1, volume // 6 // RANGE_WINDOWS * 2 + 1, spark.sparkContext.defaultParallelism)))
+    pressed = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "_text" else f for f in base.schema.fields])
+    base = base.mapInArrow(_compressed, pressed)
+    ranges = int(min(1 << 16, max(1, volume // 6 // RANGE_WINDOWS * 2 + 1, spark.sparkContext.defaultParallelism)))
     reports = base.select("_shard", "_text").repartition("_shard").sortWithinPartitions("_shard").mapInArrow(_report(n, ranges), "_range int, _shard int, _known binary")
     told = reports.repartition("_range").sortWithinPartitions("_range").mapInArrow(_confirm, "_shard int, _known binary")
     rows = base.withColumns({"_kind": F.lit(1), "_known": F.lit(None).cast("binary")}).unionByName(told.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
