@@ -64,6 +64,19 @@ def test_tags_in_prose():
     assert scan("SPDX-License-Identifier: AND OR")["labels"] == ["spdx:and"] and scan("spdx license identifier")["labels"] == []
 
 
+def test_long_expressions_are_read_to_the_end_of_the_line():
+    names = [f"LicenseRef-Vendor-{i}" for i in range(3000)]
+    s = scan("SPDX-License-Identifier: " + " OR ".join([*names, "MIT"]) + "\nOR Zlib")
+    assert s["labels"] == sorted([f"spdx:{n.lower()}" for n in names] + ["spdx:mit"]) and s["score"] == 1.0
+    assert scan("SPDX-License-Identifier: " + " AND ".join(["MIT"] * 100 + ["AGPL-3.0"]))["score"] == 0.2
+
+
+def test_each_tag_of_a_line_counts():
+    s = scan("SPDX-License-Identifier: MIT " + "word " * 200 + "SPDX-License-Identifier: Apache-2.0 OR SPDX-License-Identifier:Zlib")
+    assert s["expressions"] == ["MIT", "Apache-2.0", "Zlib"]
+    assert scan("SPDX-License-Identifier:\n")["score"] == 0.0
+
+
 def test_frame(spark):
     rows = [(1, "Released under the MIT License.", "x", "old"), (2, None, "y", "old"), (2, None, "y", "old"), (3, "mit licenses", "z", "old"), (4, "cc by " * 20000, "w", "old")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, Labels string")

@@ -58,7 +58,8 @@ UNKNOWN, EXCEPTION_BONUS = 0.3, 0.2
 #: Bytes to words: A-Z lower-cased, other ASCII beside digits and a-z to a blank.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _TOKEN = re.compile(r"\s*(?:([()])|([A-Za-z0-9][A-Za-z0-9.+:-]*))")
-_TAG_AT = re.compile(r"SPDX-License-Identifier\s*:\s*([^\r\n]{1,400})", re.IGNORECASE | re.ASCII)
+_TAG_AT = re.compile(r"SPDX-License-Identifier\s*:\s*(?=[^\r\n])", re.IGNORECASE | re.ASCII)
+_LINE_END = re.compile(r"[\r\n]")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
 
@@ -139,6 +140,17 @@ def expression_prefix(parts: list[str]) -> list[str]:
     return parts[:best]
 
 
+def tagged_expressions(text: str) -> list[list[str]]:
+    """The tokens behind each SPDX tag, up to the end of its line or to the next tag."""
+    tags = list(_TAG_AT.finditer(text))
+    ends = [t.start() for t in tags[1:]] + [len(text)]
+    out = []
+    for tag, after in zip(tags, ends, strict=False):
+        line = _LINE_END.search(text, tag.end(), after)
+        out.append(tokens(text[tag.end() : line.start() if line else after]))
+    return out
+
+
 def evaluate(parts: list[str]) -> tuple[set[str], float]:
     """Identifiers of an expression and its permission."""
     stack: list[tuple[set[str], float]] = []
@@ -148,7 +160,11 @@ def evaluate(parts: list[str]) -> tuple[set[str], float]:
             continue
         (right, b), (left, a) = stack.pop(), stack.pop()
         value = {"or": max(a, b), "and": min(a, b), "with": min(1.0, a + EXCEPTION_BONUS)}[part]
-        stack.append((left if part == "with" else left | right, value))
+        if part != "with":
+            # the larger set takes in the smaller: long expressions take time in proportion
+            left, right = (left, right) if len(left) >= len(right) else (right, left)
+            left |= right
+        stack.append((left, value))
     return stack[0]
 
 
@@ -178,13 +194,13 @@ def scan(text: str) -> dict:
         scores.append(PERMISSION[label])
         if phrase in BASE_PHRASES:
             places.append((word, label))
-    for m in _TAG_AT.finditer(text) if tagged else ():
-        parts = expression_prefix(tokens(m[1]))
+    for found in tagged_expressions(text) if tagged else ():
+        parts = expression_prefix(found)
         if parts:
             names, score = evaluate(parts)
             expressions.append(" ".join(parts))
         else:
-            names, score = {p.lower() for p in tokens(m[1])[:1] if p not in "()"}, UNKNOWN
+            names, score = {p.lower() for p in found[:1] if p not in "()"}, UNKNOWN
         labels |= {f"spdx:{n}" for n in names}
         scores.append(score)
     return {"n_words": len(words), "places": places, "labels": sorted(labels), "expressions": expressions, "score": min(scores, default=0.0)}
