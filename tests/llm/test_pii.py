@@ -65,6 +65,20 @@ def test_checksums_and_context(spark):
     assert one(spark, "a@b.de") == [("email", "a@b.de", 0.9)]
 
 
+def test_ibans_before_words_and_numbers(spark):
+    de, apart, gb = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    # of a country that is not listed: the longest that passes
+    other = next(f"ZZ{n:02d}1234 5678 9012 345" for n in range(2, 99) if int(f"1234567890123453535{n:02d}") % 97 == 1)
+    tails = ("", " Please", " Thanks", " 2024", " BIC X", " 2024 BIC COBADEFFXXX AND MORE TO COME", "\nX")
+    cases = {f"é {iban}{tail}": [iban] for iban in (de, apart, gb, "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S") for tail in tails}
+    cases |= {f"{other} Please": [other], f"{apart} {gb} {de}, {de}": [apart, gb, de, de]}
+    cases |= {bad: [] for bad in (f"{de}x", f"{de}1", f"x{de}", "DE89 3704 0044 0532 0130 01 Please", "DE89 " * 2000)}
+    found = spark.createDataFrame([(t,) for t in cases], "t string").select("t", pii.spans(F.col("t")).alias("f")).collect()
+    assert {r.t: [r.t[x.start : x.end] for x in r.f if x.kind == "iban"] for r in found} == cases
+    text = f"pay to {apart} Please, or {de} 2024"
+    assert pii.redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text == "pay to <IBAN> Please, or <IBAN> 2024"
+
+
 def test_mod97(spark):
     row = spark.range(1).select(pii.mod97(F.lit("GB82WEST12345698765432")), pii.mod97(F.lit("GB83WEST12345698765432")), pii.luhn(F.lit("79927398713")), pii.luhn(F.lit("79927398710"))).first()
     assert tuple(row) == (True, False, True, False)

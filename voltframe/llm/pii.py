@@ -4,7 +4,8 @@ SQL functions only. Matches of one kind are leftmost and do not overlap; the pie
 which a split by the same pattern yields, give positions in code points and the nearby words.
 
 Kinds: email, ip (parts at most 255), card (14 to 19 digits passing Luhn), phone (10 to 15 digits);
-these need no context. Further kinds: iban (mod 97), ssn and secret (long hexadecimal strings), of
+these need no context. Further kinds: iban (mod 97; of its country's length, and for countries not
+listed the longest that ends with a word), ssn and secret (long hexadecimal strings), of
 which the last two count only where words nearby speak for them.
 
 Cases: a null text has no spans and stays null when redacted; equal spans of different kinds are
@@ -39,7 +40,8 @@ KINDS = (
     # Only whole runs of 14 to 19 digits: what a greedy match of any length, checked afterwards, leaves.
     Kind("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])", 0.7, r"card|visa|master|amex|credit|debit|pay|paid|billing", "<CARD>"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.6, r"phone|call|tel|mobile|fax|cell|whatsapp", "<PHONE>"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", 0.8, r"iban|bank|account|konto|compte|cuenta", "<IBAN>"),
+    # Only the first four characters: where it ends is for _iban to find, and the next may begin inside of what follows.
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})", 0.8, r"iban|bank|account|konto|compte|cuenta", "<IBAN>"),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", 0.3, r"ssn|social|security|taxpayer", "<SSN>"),
     Kind("secret", r"(?<![A-Za-z0-9])[A-Fa-f0-9]{32,64}+(?![A-Za-z0-9])", 0.3, r"token|secret|key|password|passwd|pwd|bearer|auth", "<SECRET>"),
 )
@@ -47,6 +49,15 @@ BASE = ("email", "ip", "card", "phone")
 THRESHOLD, BONUS = 0.5, 0.3
 #: Code points before and after a match in which context words count.
 BEFORE, AFTER = 40, 20
+#: Characters of an IBAN without blanks, by its country.
+IBAN_LENGTH = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: An IBAN of 34 characters with a blank between any two behind the first four, and the character after it.
+IBAN_REACH = 4 + 2 * 30 + 1
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,score:double>>"
 
 
@@ -77,11 +88,26 @@ def _valid(kind: str, match: Column) -> Column | None:
     if kind == "phone":
         return F.length(digits_of(match)).between(10, 15)
     if kind == "iban":
-        bare = F.replace(match, F.lit(" "), F.lit(""))
-        return F.length(bare).between(15, 34) & mod97(bare)
+        return match.isNotNull()
     return None
 
 
+def _iban(ahead: Column) -> Column:
+    """The IBAN that a text of IBAN_REACH characters begins with, or null."""
+    lengths = F.create_map(*[F.lit(v) for n, countries in IBAN_LENGTH.items() for c in countries.split() for v in (c, n)])
+
+    def within(w: Column) -> Column:
+        def good(end: Column) -> Column:
+            bare = F.replace(F.left(w, end), F.lit(" "), F.lit(""))
+            fits = F.left(w, end).rlike(r"\A[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\z") & ~F.substring(w, end + 1, F.lit(1)).rlike("[A-Za-z0-9]")
+            return fits & (F.length(bare) == F.coalesce(F.try_element_at(lengths, F.left(w, F.lit(2))), F.length(bare))) & mod97(bare)
+
+        ends = F.filter(F.sequence(F.length(w), F.lit(15), F.lit(-1)), good)
+        return F.left(w, F.get(ends, F.lit(0)))
+
+    return let(ahead, within)
+
+
 def _spans(text: Column, kind: Kind, rank: int) -> Column:
     none = F.array().cast(SPAN)
     gaps = F.split(text, kind.pattern, -1)
@@ -89,13 +115,22 @@ def _spans(text: Column, kind: Kind, rank: int) -> Column:
     def located(m: Column, g: Column) -> Column:
         def step(acc: Column, x: Column) -> Column:
             start = acc["at"] + F.length(x["gap"])
-            end = start + F.length(x["match"])
             near = F.concat_ws(" ", F.right(x["gap"], F.lit(BEFORE)), F.left(x["after"], F.lit(AFTER)))
             score = F.lit(kind.score) + F.when(near.rlike(rf"(?i)(?<![A-Za-z])(?:{kind.near})"), F.lit(BONUS)).otherwise(F.lit(0.0))
-            good = _valid(kind.name, x["match"])
-            span = F.struct(start.cast("bigint").alias("start"), F.lit(rank).alias("rank"), end.cast("bigint").alias("end"), F.lit(kind.name).alias("kind"), F.least(score, F.lit(1.0)).alias("score"))
-            more = F.array(span) if good is None else F.when(good, F.array(span)).otherwise(none)
-            return F.struct(end.cast("bigint").alias("at"), F.concat(acc["out"], more).alias("out"))
+
+            def added(match: Column) -> Column:
+                end = start + F.length(match)
+                good = _valid(kind.name, match)
+                span = F.struct(start.cast("bigint").alias("start"), F.lit(rank).alias("rank"), end.cast("bigint").alias("end"), F.lit(kind.name).alias("kind"), F.least(score, F.lit(1.0)).alias("score"))
+                return F.array(span) if good is None else F.when(good, F.array(span)).otherwise(none)
+
+            if kind.name == "iban":
+                # heads may lie in an IBAN that has been found
+                until = F.coalesce(F.get(acc["out"], F.size(acc["out"]) - 1)["end"], F.lit(0))
+                more = let(F.when(start >= until, _iban(F.substring(text, start.cast("int") + 1, F.lit(IBAN_REACH)))), added)
+            else:
+                more = added(x["match"])
+            return F.struct((start + F.length(x["match"])).cast("bigint").alias("at"), F.concat(acc["out"], more).alias("out"))
 
         rows = F.transform(m, lambda x, i: F.struct(F.get(g, i).alias("gap"), x.alias("match"), F.get(g, i + 1).alias("after")))
         return F.aggregate(rows, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out")), step, lambda acc: acc["out"])
