@@ -79,6 +79,22 @@ def test_ibans_before_words_and_numbers(spark):
     assert pii.redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text == "pay to <IBAN> Please, or <IBAN> 2024"
 
 
+def test_context_counts_whatever_matches_lie_between(spark):
+    a, b = "0123456789abcdef" * 2, "f" * 32
+    cases = {
+        "Social security numbers: 123-45-6789, 234-56-7890, 345-67-8901": [0.6, 0.6, 0.3],  # 40 code points reach the second
+        "é ssn: 123-45-6789, 234-56-7890, 345-67-8901": [0.6, 0.6, 0.6],
+        "é 123-45-6789, 234-56-7890 ssn": [0.6, 0.6],
+        f"keys: {a}, {b}": [0.6, 0.6],
+        f"keys:  {a}, {b}": [0.6, 0.3],
+        "123-45-6789 " + "x" * 15 + " 234-56-7890 ssn": [0.3, 0.6],
+    }
+    found = spark.createDataFrame([(t,) for t in cases], "t string").select("t", pii.spans(F.col("t")).alias("f")).collect()
+    assert {r.t: [round(x.score, 2) for x in r.f if x.kind in ("ssn", "secret")] for r in found} == cases
+    text = "ssn: 123-45-6789, 234-56-7890."
+    assert pii.redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text == "ssn: <SSN>, <SSN>."
+
+
 def test_mod97(spark):
     row = spark.range(1).select(pii.mod97(F.lit("GB82WEST12345698765432")), pii.mod97(F.lit("GB83WEST12345698765432")), pii.luhn(F.lit("79927398713")), pii.luhn(F.lit("79927398710"))).first()
     assert tuple(row) == (True, False, True, False)

@@ -1,7 +1,8 @@
 """Personal data: patterns propose spans, checksums confirm them, nearby words adjust the score.
 
 SQL functions only. Matches of one kind are leftmost and do not overlap; the pieces between them,
-which a split by the same pattern yields, give positions in code points and the nearby words.
+which a split by the same pattern yields, give positions in code points. Nearby words are looked for
+in the whole text, whatever other matches lie between.
 
 Kinds: email, ip (parts at most 255), card (14 to 19 digits passing Luhn), phone (10 to 15 digits);
 these need no context. Further kinds: iban (mod 97; of its country's length, and for countries not
@@ -112,14 +113,17 @@ def _spans(text: Column, kind: Kind, rank: int) -> Column:
     none = F.array().cast(SPAN)
     gaps = F.split(text, kind.pattern, -1)
 
+    def part(at: Column, size: Column) -> Column:
+        return F.substring(text, at.cast("int") + 1, size.cast("int"))
+
     def located(m: Column, g: Column) -> Column:
         def step(acc: Column, x: Column) -> Column:
             start = acc["at"] + F.length(x["gap"])
-            near = F.concat_ws(" ", F.right(x["gap"], F.lit(BEFORE)), F.left(x["after"], F.lit(AFTER)))
-            score = F.lit(kind.score) + F.when(near.rlike(rf"(?i)(?<![A-Za-z])(?:{kind.near})"), F.lit(BONUS)).otherwise(F.lit(0.0))
 
             def added(match: Column) -> Column:
                 end = start + F.length(match)
+                near = F.concat_ws(" ", part(F.greatest(start - BEFORE, F.lit(0)), F.least(start, F.lit(BEFORE))), part(end, F.lit(AFTER)))
+                score = F.lit(kind.score) + F.when(near.rlike(rf"(?i)(?<![A-Za-z])(?:{kind.near})"), F.lit(BONUS)).otherwise(F.lit(0.0))
                 good = _valid(kind.name, match)
                 span = F.struct(start.cast("bigint").alias("start"), F.lit(rank).alias("rank"), end.cast("bigint").alias("end"), F.lit(kind.name).alias("kind"), F.least(score, F.lit(1.0)).alias("score"))
                 return F.array(span) if good is None else F.when(good, F.array(span)).otherwise(none)
@@ -127,12 +131,12 @@ def _spans(text: Column, kind: Kind, rank: int) -> Column:
             if kind.name == "iban":
                 # heads may lie in an IBAN that has been found
                 until = F.coalesce(F.get(acc["out"], F.size(acc["out"]) - 1)["end"], F.lit(0))
-                more = let(F.when(start >= until, _iban(F.substring(text, start.cast("int") + 1, F.lit(IBAN_REACH)))), added)
+                more = let(F.when(start >= until, _iban(part(start, F.lit(IBAN_REACH)))), added)
             else:
                 more = added(x["match"])
             return F.struct((start + F.length(x["match"])).cast("bigint").alias("at"), F.concat(acc["out"], more).alias("out"))
 
-        rows = F.transform(m, lambda x, i: F.struct(F.get(g, i).alias("gap"), x.alias("match"), F.get(g, i + 1).alias("after")))
+        rows = F.transform(m, lambda x, i: F.struct(F.get(g, i).alias("gap"), x.alias("match")))
         return F.aggregate(rows, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out")), step, lambda acc: acc["out"])
 
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
