@@ -77,6 +77,14 @@ def test_each_tag_of_a_line_counts():
     assert scan("SPDX-License-Identifier:\n")["score"] == 0.0
 
 
+def test_unparsable_expressions_are_reported_by_their_identifiers():
+    named = lambda expression: scan(f"SPDX-License-Identifier: {expression}\nMIT)")["labels"]
+    assert named("(GPL-2.0 OR") == ["spdx:gpl-2.0"]
+    assert named("((MIT OR Apache-2.0) AND BSL-1.0 some prose") == ["spdx:apache-2.0", "spdx:bsl-1.0", "spdx:mit"]
+    assert named("(GPL-2.0 WITH Classpath-exception-2.0 OR") == ["spdx:gpl-2.0"]
+    assert named("AND MIT") == ["spdx:mit"] and named("()") == [] and named("AND OR") == ["spdx:and"]
+
+
 def test_frame(spark):
     rows = [(1, "Released under the MIT License.", "x", "old"), (2, None, "y", "old"), (2, None, "y", "old"), (3, "mit licenses", "z", "old"), (4, "cc by " * 20000, "w", "old")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, Labels string")

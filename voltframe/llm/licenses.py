@@ -4,7 +4,8 @@ Texts are reduced to their words (A-Z lower-cased; digits, a-z and characters be
 blank between them, and streamed once through an automaton of all phrases, each with a blank at
 either side, so that whole words match. Behind an SPDX tag the original text is parsed: AND binds
 stronger than OR, WITH ties an exception to a licence, parentheses group. An expression that cannot
-be parsed is reported by the identifiers that it names.
+be parsed is reported by the identifiers that it names, up to where prose follows; one of operators
+only by its first word.
 
 The score is the permission of what was found: that of the weakest licence of a conjunction, of the
 strongest of a choice; over a whole text the lowest of its tags and notices. Without any it is 0.
@@ -140,6 +141,20 @@ def expression_prefix(parts: list[str]) -> list[str]:
     return parts[:best]
 
 
+def named(parts: list[str]) -> set[str]:
+    """Identifiers of tokens that are no expression, up to two operands in a row; not exceptions."""
+    out, before = set(), "("
+    for part in parts:
+        op = part.lower()
+        if op not in _BINDS and part not in "()":
+            if before not in _BINDS and before not in "()":
+                break
+            if before != "with":
+                out.add(op)
+        before = op
+    return out or {p.lower() for p in parts[:1] if p not in "()"}
+
+
 def tagged_expressions(text: str) -> list[list[str]]:
     """The tokens behind each SPDX tag, up to the end of its line or to the next tag."""
     tags = list(_TAG_AT.finditer(text))
@@ -200,7 +215,7 @@ def scan(text: str) -> dict:
             names, score = evaluate(parts)
             expressions.append(" ".join(parts))
         else:
-            names, score = {p.lower() for p in found[:1] if p not in "()"}, UNKNOWN
+            names, score = named(found), UNKNOWN
         labels |= {f"spdx:{n}" for n in names}
         scores.append(score)
     return {"n_words": len(words), "places": places, "labels": sorted(labels), "expressions": expressions, "score": min(scores, default=0.0)}
