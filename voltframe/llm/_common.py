@@ -63,40 +63,86 @@ def row_key(doc_id: Column, text: Column) -> list[Column]:
     return [F.xxhash64(doc_id, text).alias("_k1"), F.xxhash64(F.lit("row"), text, doc_id).alias("_k2")]
 
 
+def packed(docs: DataFrame, name: str = "row") -> Column:
+    """All columns of the input as one struct: inside it, no name can meet one that an operator uses."""
+    return F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias(name)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unpacked(docs: DataFrame, name: str = "row", without: Sequence[str] = ()) -> list[Column]:
+    """The columns of the input out of their struct, without those that an operator replaces."""
+    gone = {n.lower() for n in without}
+    return [F.col(f"{name}.{quoted(c)}").alias(c) for c in docs.columns if c.lower() not in gone]
+
+
+def partitions(spark: SparkSession, volume: int, each: int = 32 << 20) -> int | None:
+    """Partitions for a shuffle of so many bytes, where the session's own number would make them too large.
+
+    None leaves the number to the session, and adaptive execution free to join small ones.
+    """
+    wanted = -(-int(volume) // each)
+    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions", "200")) else None
+
+
+def dealt(df: DataFrame, number: int | None, *columns) -> DataFrame:
+    return df.repartition(number, *columns) if number else df.repartition(*columns)
+
+
 def fresh(df: DataFrame, *names: str) -> DataFrame:
     """Drop columns of the input that clash with the columns an operator adds."""
     clash = {n.lower() for n in names}
     return df.drop(*[c for c in df.columns if c.lower() in clash])
 
 
-def long_array(values: Sequence[int]) -> Column:
-    """A literal array<bigint> that stays one literal in the plan, however long it is."""
-    return F.from_json(F.lit(json.dumps([int(v) for v in values])), "array<bigint>")
+def long_array(values: Sequence[int], kind: str = "bigint") -> Column:
+    """A literal array that stays one literal in the plan, however long it is."""
+    return F.from_json(F.lit(json.dumps([int(v) for v in values])), f"array<{kind}>")
 
 
 class Ranges:
-    """Ranges of descending doc_id with about equal row counts, cut at ids that occur.
+    """Ranges of descending doc_id with about equal row counts.
 
-    The cut points are quantiles of the ids of all rows; there are at most `most` of them, the
-    bound on what the driver holds. `index` gives the range of an id by a two-level search, 0
-    being the range of the largest ids.
+    Up to `most` of them are cut at ids that are quantiles of the ids of all rows; `most` bounds what
+    the driver holds. Where more are wanted, each is cut further, into `finer` parts of equal width.
+    `index` gives the range of an id by a two-level search, 0 being the range of the largest ids.
     """
 
-    def __init__(self, ids: DataFrame, wanted: int, most: int = 100_000):
+    def __init__(self, ids: DataFrame, wanted: int, most: int = 10_000, finer: bool = True):
         n = max(1, min(int(wanted), most))
+        ends = ids.agg(F.max("_id").alias("top"), F.min("_id").alias("low")).first()
+        self.top, self.low = ends["top"], ends["low"]
         cuts = []
-        if n > 1:
+        if n > 1 and self.top is not None:
             shares = [i / n for i in range(1, n)]
             row = ids.select(F.percentile_approx("_id", shares, max(10_000, 4 * n)).alias("p")).first()
             cuts = sorted({int(v) for v in (row["p"] or [])}, reverse=True)
-        top = ids.agg(F.max("_id")).first()[0]
-        self.cuts = [c for c in cuts if top is not None and c < top]
-        self.top = top
+        self.cuts = [c for c in cuts if c < self.top]
+        self.finer = -(-int(wanted) // most) if finer and wanted > most else 1
 
     def __len__(self) -> int:
-        return len(self.cuts) + 1
+        return (len(self.cuts) + 1) * self.finer
 
     def index(self, key: Column) -> Column:
+        if self.top is None:
+            return F.lit(0)
+        if self.finer == 1:
+            return self._coarse(key)
+
+        # ids of range i lie above cut i and up to cut i - 1; offsets are taken as doubles, which
+        # neither overflow nor change the order
+        upper, lower = long_array([self.top, *self.cuts], "double"), long_array([*self.cuts, self.low - 1], "double")
+
+        def inside(i: Column) -> Column:
+            top, low = F.get(upper, i), F.get(lower, i)
+            part = F.floor((top - key.cast("double")) / F.greatest(top - low, F.lit(1.0)) * self.finer)
+            return (i * self.finer + F.least(F.greatest(part, F.lit(0)), F.lit(self.finer - 1))).cast("int")
+
+        return let(self._coarse(key), inside)
+
+    def _coarse(self, key: Column) -> Column:
         if not self.cuts:
             return F.lit(0)
         step = max(1, math.isqrt(len(self.cuts)))

@@ -1,51 +1,39 @@
-"""Words and word windows of many texts at once, as numpy arrays over their UTF-8 bytes.
+"""Words and word windows of many texts at once, as numpy arrays of 64-bit hashes.
 
-Words are runs of bytes that are no white space (space, tab to carriage return). Their hashes are
-polynomials modulo 2^64 taken from one running sum over all bytes, then mixed; windows of words are
-hashed in the same way over the words. Both are functions of the content alone: no process,
-partition or order enters. Sets of hashes travel between tasks as sorted differences, compressed.
+Words are runs of bytes that are no white space (space, tab to carriage return). A word's hash is its
+XXH3 value; that of a window joins the hashes of its halves, which are joined in the same way, by a
+mixing function that is no polynomial: strings made to collide under sums of powers do not. Both
+are functions of the content alone: no process, partition or order enters. Sets of hashes travel
+between tasks as sorted differences, compressed.
 """
 from __future__ import annotations
 
 import re
 
 import numpy as np
+import xxhash
 import zstandard
 
 U = np.uint64
-_R, _Q = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 9, 10, 11, 12, 13]] = True
-_SOLID = ~_SPACE
-_PLAIN = np.arange(256, dtype=np.uint64) + U(1)
-_FOLDED = _PLAIN.copy()
-_FOLDED[65:91] += U(32)
+_LEFT, _RIGHT = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 #: Bytes of text that are looked at together, unless one text is longer.
 CHUNK = 1 << 20
 
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(base: U, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2^64 for i below n."""
-    have = _tables.get(int(base))
-    if have is None or len(have[0]) < n:
-        size = 1 << max(12, int(n - 1).bit_length())
-        inverse = U(pow(int(base), -1, 1 << 64))
-        up, down = np.full(size, base, np.uint64), np.full(size, inverse, np.uint64)
-        up[0] = down[0] = 1
-        have = _tables[int(base)] = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return have[0][:n], have[1][:n]
-
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection that spreads every bit over all of them."""
     x = x ^ (x >> U(30))
-    x = x * U(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> U(27))
-    x = x * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
+    x *= U(0xBF58476D1CE4E5B9)
+    x ^= x >> U(27)
+    x *= U(0x94D049BB133111EB)
+    x ^= x >> U(31)
+    return x
+
+
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hash of two pieces that follow each other."""
+    return mixed(mixed(a + _LEFT) ^ (b * _RIGHT))
 
 
 def chunks(texts: list[bytes], most: int = CHUNK):
@@ -60,8 +48,8 @@ def chunks(texts: list[bytes], most: int = CHUNK):
         yield begin, len(texts)
 
 
-def _segments(data: bytes, most: int = CHUNK):
-    """Ranges of about `most` bytes that end at white space: a very long text is hashed piece by piece."""
+def segments(data: bytes, most: int = CHUNK):
+    """Ranges of about `most` bytes that end at white space: a very long text is split piece by piece."""
     at = 0
     while at < len(data):
         cut = _BLANK.search(data, at + most)
@@ -72,33 +60,47 @@ def _segments(data: bytes, most: int = CHUNK):
 
 def word_hashes(texts: list[bytes], fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts, in order, and the number of words of each text."""
-    data = b"\n".join(texts)
-    hashes, begins = [], []
-    for a, b in _segments(data):
-        part = np.frombuffer(data, np.uint8, b - a, a)
-        solid = np.zeros(len(part) + 2, bool)
-        solid[1:-1] = _SOLID[part]
-        edges = np.flatnonzero(solid[1:] != solid[:-1])
-        starts, ends = edges[::2], edges[1::2]
-        up, down = _powers(_R, len(part) + 1)
-        total = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum((_FOLDED if fold else _PLAIN)[part] * up[:-1], out=total[1:])
-        hashes.append(mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
-        begins.append(starts + a)
-    words = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-    places = np.concatenate(begins) if begins else np.empty(0, np.int64)
-    bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    return words, np.diff(np.searchsorted(places, bounds))
+    hashes, counts = [], []
+    for a, b in chunks(texts):
+        words: list[bytes] = []
+        if b - a == 1 and len(texts[a]) > CHUNK:
+            size = 0
+            for i, j in segments(texts[a]):
+                part = texts[a][i:j]
+                hashes.append(_hashed((part.lower() if fold else part).split()))
+                size += len(hashes[-1])
+            counts.append(size)
+            continue
+        for t in texts[a:b]:
+            mine = (t.lower() if fold else t).split()
+            counts.append(len(mine))
+            words += mine
+        hashes.append(_hashed(words))
+    return np.concatenate(hashes) if hashes else np.empty(0, np.uint64), np.array(counts, np.int64)
+
+
+def _hashed(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """Hash of words[i : i + n] for each i at which there are n words; across texts as well."""
-    if len(words) < n:
+    """Hash of words[i : i + n] for each i at which there are n words; across texts as well.
+
+    A window is cut into pieces whose sizes are the powers of two that make up n.
+    """
+    total = len(words) - n + 1
+    if total < 1 or n < 1:
         return np.empty(0, np.uint64)
-    up, down = _powers(_Q, len(words) + 1)
-    total = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * up[:-1], out=total[1:])
-    return mixed((total[n:] - total[:-n]) * down[: len(words) - n + 1])
+    out, at, width, piece = None, 0, 1, words
+    while width <= n:
+        if n & width:
+            part = piece[at : at + total]
+            out = part.copy() if out is None else joined(out, part)
+            at += width
+        if 2 * width <= n:
+            piece = joined(piece[:-width], piece[width:])
+        width *= 2
+    return out
 
 
 def pack(sorted_values: np.ndarray) -> bytes:

@@ -1,21 +1,24 @@
 """Removal of passages that documents share, by automata over repeated phrases.
 
 A window is n consecutive words of one document. Documents are dealt to shards by ranges of doc_id.
-1. Every shard reports the hashes of its windows, each once; ranges of hash values confirm which
-   recur in several shards, and tell every later shard which of its windows an earlier one has.
-2. In each shard the windows known from an earlier shard, or from a smaller doc_id of its own, form
-   recurring passages. These are cut into phrases of n words; an Aho-Corasick automaton over the
-   phrases, whose alphabet is the shard's words, is compiled for the shard, and all of its
-   documents are streamed through it. Words of an occurrence go where the phrase also starts in a
-   document with a smaller doc_id.
-
-A hot passage costs one hash a shard, not one a document. Shards hold about `shard_bytes` of text;
-their number, which grows with the text, bounds what the driver holds (the cut points).
+1. Confirm: the hashes of all windows are reported with their shards, and meet in ranges of hash
+   values. Each shard that has a window is told which shard has it next.
+2. Phrases: a shard cuts the passages (runs of such windows) out of its documents, as words, and sends
+   them to the next shard that has them, and to itself where a later document of its own repeats
+   them. A passage that a third of all documents share passes from shard to shard, once each.
+3. Compile and stream: a shard compiles an Aho-Corasick automaton of the passages that it was sent,
+   cut into pieces of half a window, and streams all of its documents through it. Every occurrence is
+   extended over the words that agree with the passage; n words or more in a row go where the
+   passage comes from a document with a smaller doc_id.
+
+Hashes only decide where passages are sent. What is removed has been compared word by word with an
+earlier document.
 
 Cases: a null text has no words; documents of fewer than n words lose nothing; rows of equal doc_id
-do not count as each other's earlier source; null ids sort first; windows within one document do
-not count against each other; an empty table gives an empty one. Extra columns are kept by
-remove_passages. Windows are compared by 64-bit hashes of their words.
+do not count as each other's earlier source, and share a shard; null ids sort first; windows within
+one document do not count against each other; very long texts are hashed in pieces and belong to one
+shard; an empty table gives an empty one. Extra columns, whatever their names, are kept by
+remove_passages; n_words and n_removed of the input are replaced.
 """
 from __future__ import annotations
 
@@ -28,218 +31,321 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ._common import Ranges, fresh, id_key, table
+from ._common import Ranges, dealt, id_key, packed, partitions, quoted, table
 from ._hashing import chunks, member, pack, slices, unpack, utf8, window_hashes, word_hashes
 
 N = 50
 SHARD_BYTES = 4 << 20
 #: Hashes of about so many windows meet in one range of hash values.
 RANGE_WINDOWS = 3_000_000
+#: Windows that a task holds before it reports them.
+HELD_WINDOWS = 1_000_000
 
 
 def _windows(texts: list[bytes], n: int):
-    """(words, words a text, window hashes, text index of each window, its first word in the text)."""
-    words, hashes, owner, start, counts = [], [], [], [], []
+    """(window hashes, text index of each window, its first word in the text), in reading order."""
+    hashes, owner, start = [], [], []
     for a, b in chunks(texts):
         w, c = word_hashes(texts[a:b])
         h = window_hashes(w, n)
+        if not len(h):
+            continue
         first = np.repeat(np.cumsum(c) - c, c)[: len(h)]
         of = np.repeat(np.arange(a, b), c)
-        inside = of[: len(h)] == of[n - 1 :][: len(h)] if len(h) else np.empty(0, bool)
-        words.append(w)
-        counts.append(c)
+        inside = of[: len(h)] == of[n - 1 :][: len(h)]
         hashes.append(h[inside])
         owner.append(of[: len(h)][inside])
         start.append((np.arange(len(h)) - first)[inside])
     join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
-    return join(words, np.uint64), join(counts, np.int64), join(hashes, np.uint64), join(owner, np.int64), join(start, np.int64)
+    return join(hashes, np.uint64), join(owner, np.int64), join(start, np.int64)
 
 
-def _compressed(batches):
-    """The same rows with zstd frames for _text: texts cross two shuffles, and are most of what does."""
-    pressed = zstandard.ZstdCompressor(level=3)
-    for batch in slices(batches):
-        at = batch.schema.get_field_index("_text")
-        texts = pa.array([pressed.compress(t) for t in utf8(batch.column(at))], pa.binary())
-        yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
-
-
-def _texts(column) -> list[bytes]:
-    opened = zstandard.ZstdDecompressor()
-    return [b"" if v is None else opened.decompress(v) for v in column.to_pylist()]
-
-
-def _by_shard(batches, columns: list[str], done):
-    """Rows arrive ordered by shard; calls done(shard, {column: list}) for each and passes on what it yields."""
-    held, now = {c: [] for c in columns}, None
-    for batch in batches:
-        shard = batch.column(batch.schema.get_field_index("_shard")).to_numpy(zero_copy_only=False)
-        cuts = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)] if len(shard) else []
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if now is not None and shard[a] != now:
-                yield from done(int(now), held)
-                held = {c: [] for c in columns}
-            now = shard[a]
-            for c in columns:
-                part = batch.column(batch.schema.get_field_index(c)).slice(a, b - a)
-                held[c].extend(_texts(part) if c == "_text" else part.to_pylist())
-    if now is not None:
-        yield from done(int(now), held)
+_TOLD = "range int, shard int, known binary"
 
 
 def _report(n: int, ranges: int):
+    """Rows (text, shard) to the distinct window hashes of each shard, by range of values."""
+    edges = np.arange(1, ranges, dtype=np.uint64) * np.uint64((1 << 64) // ranges)
+
     def run(batches):
-        def done(shard, held):
-            texts = held["_text"]
-            found = [np.unique(_windows(texts[a:b], n)[2]) for a, b in chunks(texts, 4 << 20)]
-            values = np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
-            edges = np.searchsorted(values, (np.arange(1, ranges, dtype=np.uint64)) * np.uint64((1 << 64) // ranges))
-            for r, part in enumerate(np.split(values, edges)):
-                if len(part):
-                    yield r, shard, pack(part)
-
-        rows = list(_by_shard(batches, ["_text"], done))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], names=["_range", "_shard", "_known"])
+        held, size = [], 0
+
+        def out():
+            shards = np.concatenate([np.full(len(h), s, np.int32) for s, h in held])
+            values = np.concatenate([h for _, h in held])
+            order = np.lexsort((values, shards))
+            shards, values = shards[order], values[order]
+            new = np.r_[True, (shards[1:] != shards[:-1]) | (values[1:] != values[:-1])]
+            shards, values = shards[new], values[new]
+            rows = []
+            cuts = np.flatnonzero(np.r_[True, shards[1:] != shards[:-1]])
+            for s, mine in zip(shards[cuts].tolist(), np.split(values, cuts[1:]), strict=True):
+                rows += [(r, s, pack(part)) for r, part in enumerate(np.split(mine, np.searchsorted(mine, edges))) if len(part)]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], names=["range", "shard", "known"])
+
+        for batch in slices(batches):
+            hashes, owner, _ = _windows(utf8(batch.column(0)), n)
+            if len(hashes):
+                of = batch.column(1).to_numpy()[owner]
+                held += [(s, hashes[of == s]) for s in np.unique(of).tolist()]
+                size += len(hashes)
+            if size > HELD_WINDOWS:
+                yield out()
+                held, size = [], 0
+        if held:
+            yield out()
 
     return run
 
 
 def _confirm(batches):
-    """For one range of hash values: to each shard the hashes that an earlier shard has as well."""
-    ranges: dict[int, list[tuple[int, bytes]]] = {}
-    now = None
+    """For one range of hash values: to each shard the windows that another has after it, and which one."""
+    now, parts = None, []
 
-    def told(parts):
-        parts.sort()
+    def told():
         values = [unpack(data) for _, data in parts]
         shards = np.repeat(np.array([s for s, _ in parts], np.int32), [len(v) for v in values])
         every = np.concatenate(values)
-        order = np.argsort(every, kind="stable")  # equal hashes stay in the order of their shards
+        order = np.lexsort((shards, every))
         every, shards = every[order], shards[order]
-        later = np.zeros(len(every), bool)
-        later[1:] = every[1:] == every[:-1]
-        every, shards = every[later], shards[later]
-        order = np.argsort(shards, kind="stable")
-        every, shards = every[order], shards[order]
-        cuts = np.flatnonzero(shards[1:] != shards[:-1]) + 1
-        groups = [(int(s[0]), pack(v)) for s, v in zip(np.split(shards, cuts), np.split(every, cuts), strict=True) if len(s)]
-        return pa.RecordBatch.from_arrays([pa.array([g[0] for g in groups], pa.int32()), pa.array([g[1] for g in groups], pa.binary())], names=["_shard", "_known"])
+        same = np.flatnonzero((every[1:] == every[:-1]) & (shards[1:] != shards[:-1]))
+        source, target, window = shards[same], shards[same + 1], every[same]
+        order = np.lexsort((window, target, source))
+        source, target, window = source[order], target[order], window[order]
+        cuts = np.flatnonzero(np.r_[True, (source[1:] != source[:-1]) | (target[1:] != target[:-1])]) if len(source) else np.empty(0, np.int64)
+        data = [pack(w) for w in np.split(window, cuts[1:])] if len(cuts) else []
+        return pa.RecordBatch.from_arrays([pa.array(source[cuts]), pa.array(target[cuts]), pa.array(data, pa.binary())], names=["shard", "other", "data"])
 
     for batch in batches:
         for r, s, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             if now is not None and r != now:
-                yield told(ranges.pop(now))
+                yield told()
+                parts = []
             now = r
-            ranges.setdefault(r, []).append((s, data))
-    if now is not None:
-        yield told(ranges.pop(now))
+            parts.append((s, data))
+    if parts:
+        yield told()
+
+
+def _compressed(batches):
+    """Texts as zstd frames: they cross two shuffles, and are most of what does."""
+    pressed = zstandard.ZstdCompressor(level=3)
+    for batch in slices(batches):
+        at = batch.schema.get_field_index("data")
+        texts = pa.array([pressed.compress(t) for t in utf8(batch.column(at))], pa.binary())
+        yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
 
 
-def covered(ids: list[int], texts: list[bytes], known: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """For one shard, ordered by id: words of each text, and for all words whether they go.
+def _by_shard(batches, done):
+    """Rows (shard, kind, ...) ordered by shard and kind; yields what done(shard, messages, documents) does.
 
-    known: sorted hashes of windows that earlier shards have.
+    Messages (kind 0) and documents (kind 1) come as tables of the rows of one shard.
     """
-    words, counts, hashes, owner, start = _windows(texts, n)
-    gone = np.zeros(len(words), bool)
+    held, now = [], None
+
+    def whole():
+        rows = pa.Table.from_batches(held)
+        kind = rows.column("kind").to_numpy()
+        cut = int(np.searchsorted(kind, 1))
+        return done(int(now), rows.slice(0, cut), rows.slice(cut))
+
+    for batch in batches:
+        shard = batch.column(0).to_numpy(zero_copy_only=False)
+        if not len(shard):
+            continue
+        cuts = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if now is not None and shard[a] != now:
+                yield from whole()
+                held = []
+            now = shard[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield from whole()
+
+
+def _texts(documents: pa.Table) -> list[bytes]:
+    opened = zstandard.ZstdDecompressor()
+    return [opened.decompress(v) for v in documents.column("data").to_pylist()]
+
+
+def passages(ids: np.ndarray, texts: list[bytes], n: int, wanted: dict[int, np.ndarray], itself: int) -> dict[int, list[tuple[int, bytes]]]:
+    """What a shard, ordered by id, sends: by shard, (doc_id of the source, words) of each passage.
+
+    wanted: by other shard, the sorted hashes of windows that it has as well.
+    """
+    hashes, owner, start = _windows(texts, n)
+    out: dict[int, list[tuple[int, bytes]]] = {}
     if not len(hashes):
-        return counts, gone
-    rank = np.unique(np.asarray(ids, np.int64), return_inverse=True)[1]  # equal ids are equally early
+        return out
     order = np.argsort(hashes, kind="stable")
-    new = np.ones(len(order), bool)
-    new[1:] = hashes[order][1:] != hashes[order][:-1]
-    first = np.empty(len(order), np.int64)
-    first[order] = rank[owner[order]][np.flatnonzero(new)][np.cumsum(new) - 1]
-    elsewhere = member(hashes, known)
-    recurs = np.flatnonzero(elsewhere | (first < rank[owner]))
-    if not len(recurs):
-        return counts, gone
-    base = np.cumsum(counts) - counts
-    # passages: runs of windows that recur; phrases: every n-th window of a run and its last
-    same = (recurs[1:] == recurs[:-1] + 1) & (owner[recurs[1:]] == owner[recurs[:-1]])
-    run_start = np.r_[True, ~same]
-    run_end = np.r_[~same, True]
-    offset = np.arange(len(recurs)) - np.flatnonzero(run_start)[np.cumsum(run_start) - 1]
-    phrases = recurs[(offset % n == 0) | run_end]
-    phrases = phrases[np.unique(hashes[phrases], return_index=True)[1]]
-    letters = np.unique(words, return_inverse=True)[1]
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for p in phrases.tolist():
-        at = base[owner[p]] + start[p]
-        automaton.add_word(tuple(letters[at : at + n].tolist()), -1 if elsewhere[p] else int(first[p]))
-    automaton.make_automaton()
-    for d, (at, count) in enumerate(zip(base.tolist(), counts.tolist(), strict=True)):
-        if count >= n:
-            mine = int(rank[d])
-            for end, source in automaton.iter(tuple(letters[at : at + count].tolist())):
-                if source < mine:
-                    gone[at + end - n + 1 : at + end + 1] = True
-    return counts, gone
-
-
-def _remove(n: int, keep: list[str], schema: pa.Schema, digest: bool):
+    new = np.r_[True, hashes[order][1:] != hashes[order][:-1]]
+    first = order[new]  # of each window, its first place
+    last = np.maximum.reduceat(ids[owner[order]], np.flatnonzero(new))
+    own = np.sort(first[last > ids[owner[first]]])
+    first_here = np.zeros(len(hashes), bool)
+    first_here[first] = True
+    split: dict[int, list[bytes]] = {}
+    places = [(itself, own), *((s, np.flatnonzero(member(hashes, known) & first_here)) for s, known in wanted.items())]
+    for shard, at in places:
+        if not len(at):
+            continue
+        begins = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]])])
+        ends = np.r_[begins[1:], len(at)] - 1
+        for a, b in zip(at[begins].tolist(), at[ends].tolist(), strict=True):
+            d = int(owner[a])
+            if d not in split:
+                split[d] = texts[d].split()
+            out.setdefault(shard, []).append((int(ids[d]), b" ".join(split[d][start[a] : start[b] + n])))
+    return out
+
+
+_MESSAGE = "shard int, ids array<bigint>, data binary"
+
+
+def _cut(n: int):
     def run(batches):
-        def done(shard, held):
-            known = [unpack(v) for v in held["_known"] if v is not None]
-            known = np.sort(np.concatenate(known)) if known else np.empty(0, np.uint64)
-            rows = [i for i, kind in enumerate(held["_kind"]) if kind]
-            texts = [held["_text"][i] for i in rows]
-            counts, gone = covered([held["_id"][i] for i in rows], texts, known, n)
-            removed, kept, at = [], [], 0
-            for t, count in zip(texts, counts.tolist(), strict=True):
-                mine = gone[at : at + count]
-                at += count
-                lost = int(mine.sum())
-                words = t.split()
-                if lost:
-                    words = [words[i] for i in np.flatnonzero(~mine).tolist()]
-                text = b" ".join(words)
-                removed.append(lost)
-                kept.append(hashlib.sha256(text).hexdigest() if digest else (text if lost else t).decode("utf-8", "replace"))
-            columns = [[held[c][i] for i in rows] for c in keep]
-            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip([*columns, counts.tolist(), removed, kept], schema, strict=True)], schema=schema)
-
-        yield from _by_shard(batches, list(dict.fromkeys(["_kind", "_id", "_known", "_text", *keep])), done)
+        pressed = zstandard.ZstdCompressor(level=3)
+
+        def done(shard, messages, documents):
+            wanted: dict[int, list[np.ndarray]] = {}
+            for other, data in zip(messages.column("other").to_pylist(), messages.column("data").to_pylist(), strict=True):
+                wanted.setdefault(other, []).append(unpack(data))
+            found = passages(documents.column("id").to_numpy(), _texts(documents), n, {s: np.sort(np.concatenate(v)) for s, v in wanted.items()}, shard)
+            for target, rows in found.items():
+                data = pressed.compress(b"\n".join(words for _, words in rows))
+                yield pa.RecordBatch.from_arrays([pa.array([target], pa.int32()), pa.array([[i for i, _ in rows]], pa.list_(pa.int64())), pa.array([data], pa.binary())], names=["shard", "ids", "data"])
+
+        yield from _by_shard(batches, done)
+
+    return run
+
+
+class PassageAutomaton:
+    """An Aho-Corasick automaton of passages, whose letters are words.
+
+    Passages are cut into pieces of half a window, rounded up: n words in a row of a passage hold
+    one of them whole, wherever they begin.
+    """
+
+    def __init__(self, found: list[tuple[int, bytes]], n: int):
+        self.n, self.piece = n, (n + 1) // 2
+        self.letters: dict[bytes, int] = {}
+        self.sources: list[int] = []
+        self.words: list[np.ndarray] = []
+        places: dict[tuple, list[tuple[int, int]]] = {}
+        for source, words in found:
+            mine = [self.letters.setdefault(w, len(self.letters) + 1) for w in words.split(b" ")]
+            for at in range(0, len(mine) - self.piece + 1, self.piece):
+                places.setdefault(tuple(mine[at : at + self.piece]), []).append((len(self.words), at))
+            self.sources.append(source)
+            self.words.append(np.array(mine, np.int32))
+        self.found = None
+        if places:
+            self.found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+            for key, value in places.items():
+                self.found.add_word(key, value)
+            self.found.make_automaton()
+
+    def covered(self, doc_id: int, words: list[bytes]) -> np.ndarray | None:
+        """Which words stand in a passage of an earlier document; None if there are none."""
+        if self.found is None or len(words) < self.n:
+            return None
+        known = self.letters.get
+        text = [known(w, 0) for w in words]
+        gone, letters = None, None
+        reached: dict[tuple[int, int], int] = {}  # by passage and offset, how far it has been looked at
+        for end, places in self.found.iter(tuple(text)):
+            at = end - self.piece + 1
+            for passage, place in places:
+                if self.sources[passage] >= doc_id or reached.get((passage, at - place), -1) > at:
+                    continue
+                if letters is None:
+                    letters = np.array(text, np.int32)
+                other = self.words[passage]
+                back, ahead = min(at, place), min(len(letters) - at, len(other) - place)
+                differ = np.flatnonzero(letters[at - back : at + ahead] != other[place - back : place + ahead])
+                k = int(np.searchsorted(differ, back))
+                a = at - back + (int(differ[k - 1]) + 1 if k else 0)
+                b = at - back + int(differ[k]) if k < len(differ) else at + ahead
+                reached[passage, at - place] = b
+                if b - a >= self.n:
+                    if gone is None:
+                        gone = np.zeros(len(letters), bool)
+                    gone[a:b] = True
+        return gone
+
+
+def _remove(n: int, schema: pa.Schema, digest: bool):
+    def run(batches):
+        def done(shard, messages, documents):
+            opened = zstandard.ZstdDecompressor()
+            sent = [(i, words) for ids, data in zip(messages.column("ids").to_pylist(), messages.column("data").to_pylist(), strict=True) for i, words in zip(ids, opened.decompress(data).split(b"\n"), strict=True)]
+            automaton = PassageAutomaton(sent, n)
+            counts, removed, kept = [], [], []
+            for doc_id, frame in zip(documents.column("id").to_pylist(), documents.column("data").to_pylist(), strict=True):
+                text = opened.decompress(frame)
+                words = text.split()
+                gone = automaton.covered(doc_id, words)
+                counts.append(len(words))
+                removed.append(0 if gone is None else int(gone.sum()))
+                if gone is not None:
+                    words = [words[i] for i in np.flatnonzero(~gone).tolist()]
+                left = b" ".join(words) if digest or gone is not None else text
+                kept.append(hashlib.sha256(left).hexdigest() if digest else left.decode("utf-8", "replace"))
+            row = documents.column("row").combine_chunks()
+            row = row if isinstance(row, pa.Array) else pa.concat_arrays(row.chunks)
+            yield pa.RecordBatch.from_arrays([row, *[pa.array(v, f.type) for v, f in zip([counts, removed, kept], list(schema)[1:], strict=True)]], schema=schema)
+
+        for batch in _by_shard(batches, done):
+            if batch.num_rows:
+                yield batch
 
     return run
 
 
 def _run(docs: DataFrame, n: int, digest: bool, shard_bytes: int) -> DataFrame:
+    """row (the columns that are kept), n_words, n_removed and kept: the digest or the text."""
     spark = docs.sparkSession
-    keep = ["doc_id"] if digest else [c for c in docs.columns if c != "text"]
-    base = docs.select(id_key(F.col("doc_id")).alias("_id"), F.coalesce("text", F.lit("")).alias("_text"), *keep)
-    volume = base.agg(F.sum(F.octet_length("_text")).alias("bytes")).first()["bytes"] or 0
-    cuts = Ranges(base.select("_id"), volume // shard_bytes + 1)
-    base = base.withColumn("_shard", cuts.index(F.col("_id")))
+    keep = docs.select("doc_id") if digest else docs.drop("text")
+    base = docs.select(id_key(F.col("doc_id")).alias("id"), F.coalesce("text", F.lit("")).alias("data"), packed(keep))
+    volume = base.agg(F.sum(F.octet_length("data")).alias("bytes")).first()["bytes"] or 0
+    cuts = Ranges(base.select(F.col("id").alias("_id")), volume // shard_bytes + 1)
     # ranges count from the largest ids; shards from the smallest
-    base = base.withColumn("_shard", F.lit(len(cuts) - 1) - F.col("_shard"))
-    pressed = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "_text" else f for f in base.schema.fields])
-    base = base.mapInArrow(_compressed, pressed)
-    ranges = int(min(1 << 16, max(1, volume // 6 // RANGE_WINDOWS * 2 + 1, spark.sparkContext.defaultParallelism)))
-    reports = base.select("_shard", "_text").repartition("_shard").sortWithinPartitions("_shard").mapInArrow(_report(n, ranges), "_range int, _shard int, _known binary")
-    told = reports.repartition("_range").sortWithinPartitions("_range").mapInArrow(_confirm, "_shard int, _known binary")
-    rows = base.withColumns({"_kind": F.lit(1), "_known": F.lit(None).cast("binary")}).unionByName(told.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
-    rows = rows.repartition("_shard").sortWithinPartitions("_shard", "_kind", "_id")
-    last = "kept_sha256" if digest else "text"
-    out = T.StructType([*[docs.schema[c] for c in keep], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField(last, T.StringType())])
-    from pyspark.sql.pandas.types import to_arrow_schema
+    base = base.withColumn("shard", (F.lit(len(cuts) - 1) - cuts.index(F.col("id"))).cast("int"))
+    ranges = max(1, volume // 6 // RANGE_WINDOWS * 2 + 1, spark.sparkContext.defaultParallelism)
+    reports = base.select("data", "shard").mapInArrow(_report(n, ranges), _TOLD)
+    told = dealt(reports, partitions(spark, volume), "range").sortWithinPartitions("range").mapInArrow(_confirm, "shard int, other int, data binary")
+
+    frames = base.select("shard", F.lit(1).alias("kind"), "id", "data", "row")
+    frames = frames.mapInArrow(_compressed, T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "data" else f for f in frames.schema]))
+
+    def meet(messages: DataFrame, documents: DataFrame) -> DataFrame:
+        rows = messages.withColumn("kind", F.lit(0)).unionByName(documents, allowMissingColumns=True)
+        rows = rows.select("shard", "kind", *[c for c in rows.columns if c not in ("shard", "kind")])
+        return dealt(rows, partitions(spark, volume), "shard").sortWithinPartitions("shard", "kind", "id")
 
-    return rows.mapInArrow(_remove(n, keep, to_arrow_schema(out), digest), out)
+    sent = meet(told, frames.drop("row")).mapInArrow(_cut(n), _MESSAGE)
+    out = T.StructType([T.StructField("row", frames.schema["row"].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
+    return meet(sent, frames).mapInArrow(_remove(n, to_arrow_schema(out), digest), out)
 
 
 def remove_passages(docs: DataFrame, n: int = N, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """docs with n_words, n_removed and the text without recurring passages.
 
-    A text that loses words comes back with one blank between those it keeps; others are unchanged.
+    A text that loses words comes back with one blank between those it keeps; others are unchanged,
+    but that a null text is an empty one.
     """
-    docs = fresh(docs, "n_words", "n_removed")
     out = _run(docs, n, False, shard_bytes)
-    return out.select(*docs.columns, "n_words", "n_removed")
+    columns = [F.col("kept").alias(c) if c.lower() == "text" else F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns if c.lower() not in ("n_words", "n_removed")]
+    return out.select(*columns, "n_words", "n_removed")
 
 
 def op3_passages(spark, sf_dir: str) -> DataFrame:
-    return _run(table(spark, sf_dir, "documents").select("doc_id", "text"), N, True, SHARD_BYTES)
+    out = _run(table(spark, sf_dir, "documents").select("doc_id", "text"), N, True, SHARD_BYTES)
+    return out.select("row.doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
 OP3_SQL = r"""
