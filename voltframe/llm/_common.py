@@ -39,6 +39,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return found
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate value once and use it many times.
 

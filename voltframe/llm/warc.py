@@ -2,38 +2,45 @@
 
 Writing: each page becomes a WARC/1.1 record. Of pages with equal payloads of at least a given size,
 that with the smallest page_id is a response and the others are revisits that name it. Every task
-sorts its records by URL key and time and writes one archive: a locally sorted capture run.
+sorts its records by URL key and time and writes one archive or more, compressed: each is a locally
+sorted capture run. How many records an archive takes follows from their mean size.
 
-Reading: archives are read whole, a file a task, and parsed record by record by their Content-Length;
-payload digests are computed anew and compared with the headers.
+Reading: each archive is streamed by one task, piece by piece, and parsed by Content-Length; what a
+task holds is one record. Payload digests are computed anew and compared with the headers.
 
-Index: the entries of all runs are dealt to ranges of (URL key, time); in each range the segments of
-the runs, sorted as they are, meet in a loser tree, which yields the globally ordered history.
+Index: the entries of all runs are dealt to ranges of (URL key, time, run, offset), of a bounded number
+of entries each, so that the captures of a frequent URL are dealt out too. The segments of the runs
+that fall into a range stay as they were sorted; a loser tree merges them, and its order is that of
+the result: the globally ordered history.
 
 Cases: a null html is an empty payload; payloads under the least size are all responses; equal
 rows of the smallest page_id are all responses; a null page_id is written as such and never named
 while its payload has another; a null url has the empty key; control characters and blanks of a
-url are percent-encoded; an empty table gives no records. Input columns beside page_id, url, html
-and the optional captured_at are ignored.
+url are percent-encoded; very long payloads are limited by what a record may be in memory, not by
+the archive; an empty table gives no records. Input columns beside page_id, url, html and the
+optional captured_at, whatever their names, are ignored.
 """
 from __future__ import annotations
 
 import base64
 import hashlib
 import io
+import itertools
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import checkpoint_dir, table
+from ._common import checkpoint_dir, remove, table
 
 LEAST_BYTES = 0
 #: Up to so many payloads that occur twice are broadcast (about 60 bytes each).
 BROADCAST_PAYLOADS = 1_000_000
-#: Records of an archive; a task that has more begins another.
-RECORDS_A_FILE = 50_000
+#: Bytes of payload that an archive is to hold, about, before compression; one task reads it.
+ARCHIVE_BYTES = 256 << 20
+#: Index entries that meet in one range of the merge.
+ENTRIES_A_RANGE = 200_000
 END = "\r\n\r\n"
 EPOCH = 1704067200  # captures without a time of their own count seconds by page_id from here
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -101,12 +108,51 @@ def _text(r: DataFrame) -> Column:
     return F.concat(*[x for text, value in head for x in (F.lit(text), value)], more, F.lit(END), body)
 
 
-def write_warc(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, compression: str | None = None) -> None:
+def write_warc(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Archives of the pages, one or more a task, each sorted by URL key, time and page."""
+    size = pages.agg(F.count("*").alias("n"), F.sum(F.octet_length("html")).alias("bytes")).first()
+    mean = (size["bytes"] or 0) / max(size["n"], 1) + 500  # headers
     r = records(pages, least_bytes)
     lines = r.sortWithinPartitions("urlkey", "captured", "page_id").select(_text(r).alias("value"))
-    writer = lines.write.option("lineSep", END).option("maxRecordsPerFile", RECORDS_A_FILE)
-    (writer.option("compression", compression) if compression else writer).text(path)
+    lines.write.option("lineSep", END).option("maxRecordsPerFile", max(1, int(archive_bytes / mean))).option("compression", "gzip").text(path)
+
+
+class Rejoined:
+    """A file's bytes from its pieces between END marks, a record at a time.
+
+    Where a payload ends in a part of the mark, the last piece has none behind it, and one too many
+    ends the bytes.
+    """
+
+    def __init__(self, pieces):
+        self.pieces, self.held, self.at = iter(pieces), bytearray(), 0
+
+    def _more(self) -> bool:
+        piece = next(self.pieces, None)
+        if piece is None:
+            return False
+        if self.at > 1 << 16:
+            del self.held[: self.at]
+            self.at = 0
+        self.held += piece
+        self.held += END.encode()
+        return True
+
+    def readline(self) -> bytes:
+        while (end := self.held.find(b"\n", self.at)) < 0:
+            if not self._more():
+                end = len(self.held) - 1
+                break
+        return self._take(end + 1)
+
+    def read(self, size: int) -> bytes:
+        while len(self.held) - self.at < size and self._more():
+            pass
+        return self._take(min(len(self.held), self.at + size))
+
+    def _take(self, end: int) -> bytes:
+        out, self.at = bytes(self.held[self.at : end]), end
+        return out
 
 
 def parse(stream: io.BufferedIOBase):
@@ -115,6 +161,8 @@ def parse(stream: io.BufferedIOBase):
     while line := stream.readline():
         begin = at
         if not line.startswith(b"WARC/"):
+            if line == b"\r\n" and not stream.readline().strip() and not stream.readline():
+                return  # blank lines at the end
             raise ValueError(f"no record at byte {at}")
         at += len(line)
         headers = {}
@@ -144,22 +192,31 @@ def entry(headers: dict, block: bytes) -> tuple[int | None, int, str, str, int |
     return number(headers["warc-record-id"]), size, digest, "response", None
 
 
+_ENTRY = pa.schema([("url", pa.string()), ("captured", pa.string()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("run", pa.string()), ("offset", pa.int64())])
+
+
+def _entries(batches):
+    """Pieces of archives, in order, to index entries."""
+    pieces = ((name, value) for batch in batches for name, value in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True))
+    rows = []
+    for name, mine in itertools.groupby(pieces, key=lambda p: p[0]):
+        for at, h, block in parse(Rejoined(v.as_py() for _, v in mine)):
+            rows.append((h.get("warc-target-uri", ""), h["warc-date"], *entry(h, block), name, at))
+            if len(rows) == 5_000:
+                yield _batch(rows)
+                rows = []
+    yield _batch(rows)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_ENTRY)], schema=_ENTRY)
+
+
 def read_warc(spark, path: str) -> DataFrame:
-    """Records of archives in the order of each: run (the file), offset, headers' fields, payload facts."""
-    import gzip
-
-    def read(batches):
-        for batch in batches:
-            for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = io.BytesIO(data.as_py())
-                stream = io.BufferedReader(gzip.GzipFile(fileobj=raw)) if name.endswith(".gz") else raw
-                rows = [(h.get("warc-target-uri", ""), h["warc-date"], *entry(h, b), name, at) for at, h, b in parse(stream)]
-                names = ["url", "captured", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "run", "offset"]
-                kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    out = files.mapInArrow(read, INDEX.replace("urlkey", "url"))
+    """Records of compressed archives in the order of each: run (the file), offset, headers' fields, payload facts."""
+    # compressed text is never split: a task streams a whole file
+    pieces = spark.read.option("lineSep", END).option("pathGlobFilter", "*.gz").schema("value string").text(path).select("_metadata.file_path", "value")
+    out = pieces.mapInArrow(_entries, INDEX.replace("urlkey", "url"))
     return out.withColumn("urlkey", url_key(F.col("url"))).select(*[c.split()[0] for c in INDEX.split(", ")])
 
 
@@ -206,51 +263,50 @@ class LoserTree:
 
 
 def _merge(batches):
-    """The segments of all runs of one range, merged."""
-    runs: dict[str, list] = {}
-    names = None
-    for batch in batches:
-        names = batch.schema
-        columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-        for row in zip(*columns, strict=True):
-            runs.setdefault(row[7], []).append(row)
-    if not runs:
+    """One range, ordered by run: the segments of the runs, merged."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
         return
-    segments = []
-    for name in sorted(runs):
-        keys = [(r[0], r[1], r[8]) for r in runs[name]]
-        rows = runs[name]
-        if any(a > b for a, b in zip(keys, keys[1:], strict=False)):  # blocks of a run came out of turn
-            order = sorted(range(len(keys)), key=keys.__getitem__)
-            rows, keys = [rows[i] for i in order], [keys[i] for i in order]
-        segments.append([(k[0], k[1], name, k[2], r) for k, r in zip(keys, rows, strict=True)])
-    held = []
-    for _, item in LoserTree(segments):
-        held.append(item[4])
-        if len(held) == 10_000:
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in held], f.type) for i, f in enumerate(names)], schema=names)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in held], f.type) for i, f in enumerate(names)], schema=names)
+    rows = pa.Table.from_batches(held)
+    column = lambda name: rows.column(name).to_pylist()
+    segments: list[list] = []
+    before = None
+    for i, (key, captured, run, offset) in enumerate(zip(column("urlkey"), column("captured"), column("run"), column("offset"), strict=True)):
+        item = (key, captured, run, offset, i)
+        if before is None or run != before[2]:
+            segments.append([])
+        elif item < before:
+            raise ValueError(f"the segment of {run} is not sorted")
+        segments[-1].append(item)
+        before = item
+    order = [item[4] for _, item in LoserTree(segments)]
+    for at in range(0, len(order), 10_000):
+        yield from rows.take(pa.array(order[at : at + 10_000], pa.int64())).combine_chunks().to_batches()
 
 
 def capture_history(index: DataFrame) -> DataFrame:
     """The entries of all runs in global order: partitions ascend by (URL key, time), rows inside too."""
     index = index.checkpoint()  # ranges are sampled from it; archives are not read twice
-    return index.repartitionByRange("urlkey", "captured", "run", "offset").mapInArrow(_merge, INDEX)
+    order = ["urlkey", "captured", "run", "offset"]
+    ranges = -(-index.count() // ENTRIES_A_RANGE)
+    usual = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    index = index.repartitionByRange(ranges, *order) if ranges > usual else index.repartitionByRange(*order)
+    return index.sortWithinPartitions("run", "urlkey", "captured", "offset").mapInArrow(_merge, INDEX)
 
 
-def archive(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, compression: str | None = None) -> DataFrame:
+def archive(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write the pages as WARC archives under path, read them back and return the merged index."""
     spark = pages.sparkSession
     checkpoint_dir(spark)
-    write_warc(pages, path, least_bytes, compression)
+    write_warc(pages, path, least_bytes, archive_bytes)
     return capture_history(read_warc(spark, path))
 
 
 def op5_warc(spark, sf_dir: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
-    return archive(table(spark, sf_dir, "pages"), path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    history = archive(table(spark, sf_dir, "pages"), path)
+    remove(spark, path)  # the index has been written by itself
+    return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 OP5_SQL = r"""
