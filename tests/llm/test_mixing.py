@@ -64,3 +64,22 @@ def test_sample_repeats_rows(spark):
         assert r.repetition in (0, 1) and 0 < r.words_taken <= r["size"]
         words[r.doc_id] = words.get(r.doc_id, 0) + r.words_taken
     assert words == {k: v for k, v in mixed.items() if v}
+
+
+def test_names_of_the_input_meet_none_of_the_operators(spark):
+    from voltframe.llm import mixing
+
+    names = ("_source", "_bucket", "_order", "_before", "_tie", "row", "held")
+    rows = [(i, "w " * (i + 1), "ab"[i % 2], *names) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    out = mixing.mix(df)
+    assert out.columns == [*df.columns, *mixing.ADDED]
+    plain = {r.doc_id: (r.size, r.taken) for r in mixing.mix(df.select("doc_id", "text", "source")).collect()}
+    assert all(tuple(r[n] for n in names) == names and plain[r.doc_id] == (r["size"], r["taken"]) for r in out.collect())
+
+
+def test_very_long_texts(spark):
+    from voltframe.llm import mixing
+
+    df = spark.createDataFrame([(1, "w " * 300_000, "a"), (2, None, "a")], "doc_id long, text string, source string")
+    assert sorted((r["size"], r["taken"]) for r in mixing.mix(df).collect()) == [(0, 0), (300_000, 450_000)]

@@ -115,3 +115,12 @@ def test_overlapping_kinds_leave_nothing_behind(spark):
     text = "ip 10.0.0.1@mail.example.com end"
     got = pii.redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
     assert "10.0.0" not in got and "mail.example" not in got and got.startswith("ip <") and got.endswith(" end")
+
+
+def test_names_of_the_input_meet_none_of_the_operators(spark):
+    from voltframe.llm import pii
+
+    df = spark.createDataFrame([(1, "to a@b.example now", "mine", "row", "w")], "doc_id long, text string, pii string, row string, whole string")
+    out = pii.redact(df)
+    assert out.columns == df.columns and tuple(out.first()) == (1, "to <EMAIL> now", "mine", "row", "w")
+    assert pii.redact(df.limit(0)).count() == 0 and pii.find_pii(df.limit(0)).count() == 0

@@ -12,8 +12,8 @@ bucket, so a source that holds most of the rows is spread over all buckets.
 
 Cases: a null text has size 0 and is taken 0 times; null is a source of its own, ranked last; a
 source without words has target 0; equal rows are separate documents; an empty table gives an empty
-one. Reruns agree whatever the partitions. Extra columns are kept; columns named like the added ones
-are replaced.
+one; very long texts count whole. Reruns agree whatever the partitions. Extra columns are kept,
+whatever their names; columns named like the added ones are replaced.
 """
 from __future__ import annotations
 
@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import PLAIN_WORD, fresh, table
+from ._common import PLAIN_WORD, packed, table, unpacked
 
 WEIGHTS, SHARE, EPOCHS, SEED = (5.0, 2.0, 1.0), 1.5, 2.0, "mix-1"
 #: Hex digits of the order key that name a bucket: 4096 buckets a source.
@@ -60,10 +60,11 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, epochs: float = EPOCHS, seed: str = SEED) -> DataFrame:
     """docs with size, source_size, target (of the source) and taken (words that the mix takes)."""
-    docs = fresh(docs, *ADDED)
+    kept = unpacked(docs, without=ADDED)
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
-    docs = docs.withColumns({"size": word_count(F.col("text")), "_order": order, "_source": F.concat(F.lit("="), F.col("source"))})
-    docs = docs.withColumns({"_source": F.coalesce("_source", F.lit("null")), "_bucket": F.substring("_order", 1, BUCKET_DIGITS), "_tie": F.xxhash64("text")})
+    named = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))
+    docs = docs.select(packed(docs), F.col("source").alias("source"), word_count(F.col("text")).alias("size"), order.alias("_order"), named.alias("_source"), F.xxhash64("text").alias("_tie"))
+    docs = docs.withColumn("_bucket", F.substring("_order", 1, BUCKET_DIGITS))
     by_bucket = docs.groupBy("_source", "_bucket").agg(F.sum("size").alias("held"), F.first("source").alias("source"))
     running = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     by_bucket = by_bucket.withColumn("_before", F.coalesce(F.sum("held").over(running), F.lit(0)))
@@ -72,11 +73,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     aims = aims.withColumn("_source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))).drop("source", "weight")
     offsets = by_bucket.select("_source", "_bucket", "_before").join(aims, "_source")
     within = Window.partitionBy("_source", "_bucket").orderBy("_order", "size", "_tie").rowsBetween(Window.unboundedPreceding, -1)
-    placed = docs.join(offsets, ["_source", "_bucket"]).withColumn("_before", F.col("_before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
+    placed = docs.drop("source").join(offsets, ["_source", "_bucket"]).withColumn("_before", F.col("_before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.round(F.col("target") - whole * F.col("source_size")).cast("bigint")
     part = F.least(F.greatest(rest - F.col("_before"), F.lit(0).cast("bigint")), F.col("size"))
-    return placed.withColumn("taken", (whole * F.col("size") + part).cast("bigint")).select(*docs.drop("_source", "_bucket", "_order", "_tie").columns, "source_size", "target", "taken")
+    return placed.withColumn("taken", (whole * F.col("size") + part).cast("bigint")).select(*kept, *ADDED)
 
 
 def sample(docs: DataFrame, **how) -> DataFrame:

@@ -10,8 +10,8 @@ listed the longest that ends with a word), ssn and secret (long hexadecimal stri
 which the last two count only where words nearby speak for them.
 
 Cases: a null text has no spans and stays null when redacted; equal spans of different kinds are
-all reported; equal rows are kept. Extra columns are kept; columns named like the added ones are
-replaced. The patterns use possessive quantifiers, so that long runs of digits or letters take time
+all reported; equal rows are kept; an empty table gives an empty one. Extra columns are kept; find_pii
+replaces one named pii, redact returns the input's columns, whatever their names. The patterns use possessive quantifiers, so that long runs of digits or letters take time
 in proportion to their length.
 """
 from __future__ import annotations
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import fresh, let, table
+from ._common import fresh, let, packed, table, unpacked
 
 
 @dataclass(frozen=True)
@@ -157,9 +157,9 @@ def find_pii(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD)
 
 def redact(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """docs with the label of its kind in place of every span; of overlapping spans the first counts."""
-    marked = find_pii(docs.withColumn("_pii_text", F.col(text)), "_pii_text", threshold)
+    marked = docs.select(packed(docs), F.col(text).alias("whole"), F.filter(spans(F.col(text)), lambda x: x["score"] >= threshold).alias("pii"))
     labels = F.create_map(*[F.lit(v) for k in KINDS for v in (k.name, k.label)])
-    whole = F.col("_pii_text")
+    whole = F.col("whole")
 
     def step(acc: Column, x: Column) -> Column:
         inside = x["end"] <= acc["at"]
@@ -169,7 +169,7 @@ def redact(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) ->
     zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
     rest = lambda acc: F.concat(acc["out"], F.substring(whole, acc["at"].cast("int") + 1, F.length(whole)))
     clean = F.when(F.size("pii") > 0, F.aggregate("pii", zero, step, rest)).otherwise(whole)
-    return marked.withColumn(text, clean).select(*docs.columns)
+    return marked.select(*[clean.alias(c) if c.lower() == text.lower() else value for c, value in zip(docs.columns, unpacked(docs), strict=True)])
 
 
 def _joined(found: Column) -> Column:
