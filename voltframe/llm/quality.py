@@ -1,83 +1,96 @@
-"""Quality classifier by co-training of two views of a document.
-
-The content view sees the text: shares of pairs of character classes, of words that repeat the one
-before, and which words of a selected vocabulary occur. The metadata view sees the language, the
-source and the page's measures (length, lines, length and variety of its words). There is one pair of
-classifiers for quality and one for toxicity.
-
-Both views learn from the labelled rows. Over rounds, each labels the rows of an unlabelled pool of
-which it is most confident, and hands them to the other, which learns again; a round counts if the
-loss on held-out labelled rows falls. Then each view is calibrated on these (Platt), the calibrated
-views are combined by a logistic model, and all documents are scored. A document is accepted when
-its score, p(quality) * (1 - p(toxic)), reaches the threshold.
-
-The classifiers are fitted on bounded samples, MOST_LABELLED and MOST_POOL rows chosen by a hash of
-doc_id, whatever the size of the input; every document is scored over its whole text.
+"""Quality classifier by co-training of two views of a document that share no feature.
+
+The content view sees the words: which of a selected vocabulary occur, how varied they are, how often
+one repeats the one before, their length. The metadata view sees the page: language, source, declared
+length, and its form (lines, shares of pairs of character classes, in which all letters are alike).
+There is one pair of classifiers for quality and one for toxicity.
+
+The labelled rows are split by a hash of doc_id: 13 in 20 train the classifiers (and select the
+vocabulary), the others choose rounds, calibrate, and test, each for nothing else. In every round both
+views score all unlabelled documents, on the executors. Of those of which a view is confident, a sample
+by hash, drawn from all of them, goes to the other view as pseudo-labels, and that learns again; it
+keeps what it has learnt if the loss on the choosing rows falls by more than its standard error.
+Classes are handed over in the proportion of the training rows. Then each view is calibrated
+(Platt), the calibrated views are combined by a logistic model, and all documents are scored. A
+document is accepted when its score, p(quality) * (1 - p(toxic)), reaches the threshold.
+
+What the driver fits is bounded: MOST_LABELLED labelled rows, chosen by a hash of doc_id, and about
+PSEUDO pseudo-labelled ones a class, view and round. Everything else covers all documents: the
+features, from whole texts, the scores and the choice of the confident.
 
 Cases: a null or empty text is scored like any other (no words, no pairs); labels of null are left
-out, of several labels of a document the lowest quality and the highest toxicity count; without
+out, of several labels of a document the lowest quality and the highest toxicity count; of labelled
+rows of equal features one is learnt from, with the lowest quality and highest toxicity; without
 labels, or with labels of one class, a head answers with the (smoothed) share of that class, and
-everything is accepted when there is none; equal rows get equal scores; an empty table gives an
-empty one. Null metadata are a category of their own. Extra columns are kept by classify; columns
-named like the added ones are replaced.
+everything is accepted when there is none; equal rows get equal scores; very long texts are read
+whole; an empty table gives an empty one. Null metadata are a category of their own. Extra columns
+are kept by classify, whatever their names; columns named like the added ones are replaced.
 """
 from __future__ import annotations
 
-import json
 import re
 import zlib
 from dataclasses import dataclass, field
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ._common import checkpoint_dir, fresh, table
-from ._hashing import word_hashes
+from ._common import checkpoint_dir, packed, table, unpacked
 
-MOST_LABELLED, MOST_POOL = 8_000, 4_000
-ROUNDS, CONFIDENT, SHARE_A_ROUND = 3, 0.98, 0.1
+MOST_LABELLED = 8_000
+ROUNDS, CONFIDENT, PSEUDO = 2, 0.95, 500
 THRESHOLD = 0.5
-#: Words of the content view: at most so many, each in so many sampled documents, so much associated.
+#: Words of the content view: at most so many, each in so many training documents, so much associated.
 MOST_WORDS, LEAST_DOCUMENTS, LEAST_CHI2 = 400, 5, 25.0
+#: Twentieths of the labelled rows that train, choose rounds, and calibrate; the rest tests.
+TRAIN, CHOOSE, CALIBRATE = 13, 2, 3
 WORD = re.compile(r"[^\W\d_]+")
 
-# Classes of bytes: each ASCII punctuation mark is its own, so are blanks and line ends.
+# Classes of bytes: all letters are alike, each ASCII punctuation mark is its own, so are blanks and line ends.
 _CLASSES = np.zeros(256, np.int64)
 for _b in range(256):
     _c = chr(_b)
     _CLASSES[_b] = 0 if _b >= 128 else 1 if _c.islower() else 2 if _c.isupper() else 3 if _c.isdigit() else 4 if _c in "\n\r" else 5 if _b <= 32 or _b == 127 else 6 + "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~".index(_c)
 _N = int(_CLASSES.max()) + 1
 _BUCKETS = 24  # one-hot places of the language and of the source each
+_SHAPE = 4  # measures of the words, before the vocabulary
+_PAGE = 2 * _BUCKETS + 7  # metadata before the shares of pairs
 
 
-def content(text: bytes) -> np.ndarray:
-    """Shares of the pairs of character classes, then of the words that repeat the one before."""
-    out = np.zeros(_N * _N + 1, np.float32)
-    if len(text) > 1:
-        c = _CLASSES[np.frombuffer(text, np.uint8)]
-        out[:-1] = np.bincount(c[:-1] * _N + c[1:], minlength=_N * _N) / (len(c) - 1)
-    w, _ = word_hashes([text]) if text else (np.empty(0, np.uint64), None)
-    if len(w) > 1:
-        out[-1] = np.mean(w[1:] == w[:-1])
+def content(words: list[str], place: dict[str, int]) -> np.ndarray:
+    """Measures of the words, then which words of the vocabulary occur."""
+    out = np.zeros(_SHAPE + len(place), np.float32)
+    n, kinds = len(words), set(words)
+    out[:_SHAPE] = (np.log1p(n), len(kinds) / max(n, 1), sum(map(eq, words, islice(words, 1, None))) / max(n - 1, 1), sum(map(len, words)) / max(n, 1))
+    for w in kinds & place.keys():
+        out[_SHAPE + place[w]] = 1
     return out
 
 
-def metadata(text: bytes, lang: str | None, source: str | None) -> np.ndarray:
-    out = np.zeros(2 * _BUCKETS + 6, np.float32)
+def metadata(text: bytes, lang: str | None, source: str | None, n_chars: int | None) -> np.ndarray:
+    """Language, source, declared length and form of a page; then shares of the pairs of character classes."""
+    out = np.zeros(_PAGE + _N * _N, np.float32)
     for at, name in ((0, lang), (_BUCKETS, source)):
         out[at + (0 if name is None else 1 + zlib.crc32(name.encode()) % (_BUCKETS - 1))] = 1
-    w, _ = word_hashes([text]) if text else (np.empty(0, np.uint64), None)
-    lines = text.count(b"\n") + 1
-    n = max(len(w), 1)
-    out[-6:] = (np.log1p(len(text)), np.log1p(len(w)), np.log1p(lines), len(text) / n, len(np.unique(w)) / n, np.log1p(len(w) / lines))
+    pairs = np.zeros(_N * _N)
+    if len(text) > 1:
+        c = _CLASSES[np.frombuffer(text, np.uint8)]
+        pairs = np.bincount(c[:-1] * _N + c[1:], minlength=_N * _N)
+    square = pairs.reshape(_N, _N)
+    lines, pieces = text.count(b"\n") + 1, square[4:6].sum() - square[4:6, 4:6].sum() + 1
+    out[2 * _BUCKETS : _PAGE] = (n_chars is None, np.log1p(max(n_chars or 0, 0)), np.log1p(len(text)), np.log1p(lines), np.log1p(pieces), len(text) / pieces, np.log1p(pieces / lines))
+    out[_PAGE:] = pairs / max(len(text) - 1, 1)
     return out
 
 
-def words_of(text: str) -> set[str]:
-    return set(WORD.findall(text.lower()))
+def words_of(text: str) -> list[str]:
+    return WORD.findall(text.lower())
 
 
 def sigmoid(z):
@@ -158,76 +171,194 @@ def _line(z: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def co_train(xs: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS, seed: int = 7) -> Head:
-    """A head from labelled rows in two views and an unlabelled pool in the same views."""
-    if len(y) == 0 or len(np.unique(y)) < 2:
-        return Head(rate=float((y.sum() + 1) / (len(y) + 2)) if len(y) else 0.5)
-    held = np.random.default_rng(seed).permutation(len(y)) % 4 == 0
-    if len(np.unique(y[held])) < 2 or len(np.unique(y[~held])) < 2:
-        held = np.zeros(len(y), bool)
-    test = held if held.any() else ~held
-    train = [[(x[~held], y[~held])] for x in xs]
-    best = [Logistic().fit(*t[0]) for t in train]
-    loss = [log_loss(y[test], sigmoid(v.logit(x[test]))) for v, x in zip(best, xs, strict=True)]
-    free = np.ones(len(pool[0]), bool)
-    for _ in range(rounds):
-        given = []
-        for v, x in zip(best, pool, strict=True):
-            p = sigmoid(v.logit(x))
-            sure = free & ((p >= CONFIDENT) | (p <= 1 - CONFIDENT))
-            order = np.argsort(-np.abs(p - 0.5), kind="stable")
-            mine = order[sure[order]][: int(SHARE_A_ROUND * len(p))]
-            given.append((mine, (p[mine] > 0.5).astype(np.float64)))
-        if not sum(len(g[0]) for g in given):
-            break
+class Trainer:
+    """One head while its views teach each other."""
+
+    def __init__(self, xs: list[np.ndarray], y: np.ndarray, part: np.ndarray):
+        """part: of each row 0 (train), 1 (choose), 2 (calibrate) or 3 (test)."""
+        self.xs, self.y, self.part = xs, y, part
+        self.views: list[Logistic] = []
+        self.accepted: list[tuple[int, int]] = []  # round and view
+        rows = self.rows(0)
+        if len(np.unique(y[rows])) == 2:
+            self.train = [[(x[rows], y[rows])] for x in xs]
+            self.views = [Logistic().fit(*t[0]) for t in self.train]
+            self.loss = [self._loss(k, v) for k, v in enumerate(self.views)]
+
+    def rows(self, part: int) -> np.ndarray:
+        """The rows of a part; those that train where a small table leaves it empty or with one class."""
+        mine = np.flatnonzero(self.part == part)
+        return mine if part == 0 or len(np.unique(self.y[mine])) == 2 else np.flatnonzero(self.part == 0)
+
+    def _loss(self, k: int, view: Logistic) -> np.ndarray:
+        """The loss of each choosing row."""
+        rows = self.rows(1)
+        y, p = self.y[rows], np.clip(sigmoid(view.logit(self.xs[k][rows])), 1e-6, 1 - 1e-6)
+        return -(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    def _balanced(self, x: list[np.ndarray], label: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """As many of either class as go with the share of classes in the training rows: a view that is sure of one class only teaches nothing."""
+        rate = self.y[self.rows(0)].mean()
+        sides = [np.flatnonzero(label == c) for c in (0, 1)]
+        most = min(len(sides[0]) / (1 - rate), len(sides[1]) / rate)
+        rows = np.sort(np.concatenate([side[: int(most * share)] for side, share in zip(sides, (1 - rate, rate), strict=True)]))
+        return [v[rows] for v in x], label[rows]
+
+    def learn(self, turn: int, given: list[tuple[list[np.ndarray], np.ndarray]]) -> None:
+        """given: by teaching view, pseudo-labelled rows in both views and their labels."""
+        before = list(self.views)
         for k in (0, 1):  # each view learns from what the other was sure of
-            mine, label = given[1 - k]
-            if not len(mine):
+            x, label = self._balanced(*given[1 - k])
+            if len(np.unique(label)) < 2:
                 continue
-            train[k].append((pool[k][mine], label))
-            tried = Logistic().fit(np.concatenate([t[0] for t in train[k]]), np.concatenate([t[1] for t in train[k]]))
-            now = log_loss(y[test], sigmoid(tried.logit(xs[k][test])))
-            if now <= loss[k]:
-                best[k], loss[k] = tried, now
-            else:
-                train[k].pop()
-        free[np.concatenate([g[0] for g in given])] = False
-    head = Head(rate=float(y.mean()), views=best)
-    for v, x in zip(best, xs, strict=True):
-        b, a = _line(v.logit(x[test])[:, None], y[test])
-        head.platt.append((float(a), float(b)))
-    head.combine = tuple(float(c) for c in _line(np.column_stack(head.calibrated([x[test] for x in xs])), y[test]))
-    p = head.probability([x[test] for x in xs])
-    head.held_out = {"rows": int(test.sum()), "accuracy": float(np.mean((p > 0.5) == y[test])), "log_loss": log_loss(y[test], p)}
-    return head
+            parts = [*self.train[k], (x[k], label)]
+            tried = Logistic().fit(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+            now = self._loss(k, tried)
+            gain = self.loss[k] - now
+            if gain.mean() > gain.std() / np.sqrt(len(gain)):  # by more than its standard error
+                before[k], self.loss[k], self.train[k] = tried, now, parts
+                self.accepted.append((turn, k))
+        self.views = before
+
+    def head(self) -> Head:
+        y, xs = self.y, self.xs
+        if not self.views:
+            return Head(rate=float((y.sum() + 1) / (len(y) + 2)) if len(y) else 0.5)
+        head = Head(rate=float(y.mean()), views=self.views)
+        rows = self.rows(2)
+        for v, x in zip(self.views, xs, strict=True):
+            b, a = _line(v.logit(x[rows])[:, None], y[rows])
+            head.platt.append((float(a), float(b)))
+        head.combine = tuple(float(c) for c in _line(np.column_stack(head.calibrated([x[rows] for x in xs])), y[rows]))
+        rows = self.rows(3)
+        p = head.probability([x[rows] for x in xs])
+        head.held_out = {"rows": len(rows), "accuracy": float(np.mean((p > 0.5) == y[rows])), "log_loss": log_loss(y[rows], p), "accepted": self.accepted}
+        return head
+
+
+class ArrayPool:
+    """Unlabelled rows in memory, in both views, in place of a table of features."""
+
+    def __init__(self, xs: list[np.ndarray], seed: int = 7):
+        self.xs, self.random = xs, np.random.default_rng(seed)
+
+    def confident(self, trainers: list[Trainer]):
+        out = []
+        for t in trainers:
+            given = []
+            for k in (0, 1):
+                p = sigmoid(t.views[k].logit(self.xs[k])) if t.views else np.full(len(self.xs[k]), 0.5)
+                picked = [rows if len(rows) <= PSEUDO else self.random.choice(rows, PSEUDO, replace=False) for rows in (np.flatnonzero(p >= CONFIDENT), np.flatnonzero(p <= 1 - CONFIDENT))]
+                rows = np.concatenate(picked)
+                given.append(([x[rows] for x in self.xs], (p[rows] > 0.5).astype(np.float64)))
+            out.append(given)
+        return out
+
+
+def co_train(trainers: list[Trainer], pool, rounds: int = ROUNDS) -> list[Head]:
+    """Heads from labelled rows in two views and a pool of unlabelled ones in the same views."""
+    for turn in range(rounds):
+        if not any(t.views for t in trainers):
+            break
+        for t, given in zip(trainers, pool.confident(trainers), strict=True):
+            if t.views:
+                t.learn(turn, given)
+    return [t.head() for t in trainers]
 
 
 @dataclass
 class Model:
     vocabulary: list[str]
-    columns: np.ndarray  # of the content features that are used
+    columns: np.ndarray  # of the metadata features that are used
     good: Head = None
     toxic: Head = None
 
-    def features(self, texts: list[str], raw: list[bytes], langs: list, sources: list) -> list[np.ndarray]:
+    def features(self, texts: list[str], langs: list, sources: list, lengths: list) -> list[np.ndarray]:
         place = {w: i for i, w in enumerate(self.vocabulary)}
-        one = np.zeros((len(texts), len(self.columns) + len(place)), np.float32)
-        two = np.zeros((len(texts), 2 * _BUCKETS + 6), np.float32)
-        known = place.keys()
-        for i, (t, b) in enumerate(zip(texts, raw, strict=True)):
-            one[i, : len(self.columns)] = content(b)[self.columns]
-            for w in known & words_of(t) if place else ():
-                one[i, len(self.columns) + place[w]] = 1
-            two[i] = metadata(b, langs[i], sources[i])
-        return [one, two]
-
-
-def select_words(sample: DataFrame) -> list[str]:
-    """The words of the labelled sample most associated (chi-square) with one of the labels."""
-    marked = sample.filter("labelled")
-    n = F.lit(float(marked.count()))
-    words = marked.select(F.explode("words").alias("word"), (F.col("toxic") > 0).cast("double").alias("y1"), (F.col("quality") <= 0).cast("double").alias("y2"))
-    totals = marked.agg(F.sum((F.col("toxic") > 0).cast("double")).alias("p1"), F.sum((F.col("quality") <= 0).cast("double")).alias("p2")).first()
+        one = np.zeros((len(texts), _SHAPE + len(place)), np.float32)
+        two = np.zeros((len(texts), len(self.columns)), np.float32)
+        for i, t in enumerate(texts):
+            one[i] = content(words_of(t), place)
+            two[i] = metadata(t.encode("utf-8", "surrogatepass"), langs[i], sources[i], lengths[i])[self.columns]
+        # what is stored of them: a model sees the same numbers wherever they come from
+        return [x.astype(np.float16).astype(np.float32) for x in (one, two)]
+
+    def scores(self, xs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return self.good.probability(xs), self.toxic.probability(xs)
+
+
+def _stored(x: np.ndarray) -> list[bytes]:
+    return [zlib.compress(row.tobytes(), 1) for row in x.astype(np.float16)]
+
+
+def _read(column, width: int) -> np.ndarray:
+    rows = [np.frombuffer(zlib.decompress(v), np.float16) for v in column]
+    return np.stack(rows).astype(np.float32) if rows else np.zeros((0, width), np.float32)
+
+
+_FEATURES = "doc_id long, h long, content binary, metadata binary"
+
+
+def _extract(told):
+    """Rows (doc_id, text, lang, source, n_chars) to the features of both views, compressed."""
+
+    def run(batches):
+        m = told.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                one, two = (_stored(x) for x in m.features(*(batch.column(i).to_pylist() for i in range(1, 5))))
+                h = [zlib.crc32(b, zlib.crc32(a)) for a, b in zip(one, two, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(h, pa.int64()), pa.array(one, pa.binary()), pa.array(two, pa.binary())], names=["doc_id", "h", "content", "metadata"])
+
+    return run
+
+
+class TablePool:
+    """All unlabelled documents, as a table of features on the executors."""
+
+    def __init__(self, features: DataFrame, widths: tuple[int, int]):
+        self.features, self.widths = features, widths
+
+    def confident(self, trainers: list[Trainer]):
+        told = self.features.sparkSession.sparkContext.broadcast([t.views for t in trainers])
+        widths = self.widths
+
+        def sure(batches):
+            """h and group (head, view, label) of each document and view that is sure of it."""
+            for batch in batches:
+                xs = [_read(batch.column(i + 1).to_pylist(), widths[i]) for i in (0, 1)]
+                h, out = batch.column(0).to_numpy(), []
+                for i, views in enumerate(told.value):
+                    for k, view in enumerate(views):
+                        p = sigmoid(view.logit(xs[k]))
+                        out += [(h[rows], np.full(len(rows), 4 * i + 2 * k + label)) for label, rows in ((1, np.flatnonzero(p >= CONFIDENT)), (0, np.flatnonzero(p <= 1 - CONFIDENT)))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[0] for o in out]) if out else [], pa.int64()), pa.array(np.concatenate([o[1] for o in out]) if out else [], pa.int64())], names=["h", "given"])
+
+        found = self.features.select("h", "content", "metadata").mapInArrow(sure, "h long, given long").distinct().checkpoint()
+        counts = found.groupBy("given").agg(F.count("*").alias("n"))
+        # equal documents share h and are one; of each group about PSEUDO, by another hash of h
+        share = F.pmod(F.xxhash64(F.lit("share"), "h"), F.lit(1 << 40)) * F.col("n") < F.lit(PSEUDO) * F.lit(1 << 40).cast("double")
+        picked = found.join(F.broadcast(counts), "given").filter(share).groupBy("h").agg(F.collect_list("given").alias("given"))
+        rows = self.features.join(F.broadcast(picked), "h").groupBy("h").agg(F.first("given").alias("given"), F.min(F.struct("content", "metadata")).alias("x")).collect()
+        rows.sort(key=lambda r: r["h"])
+        xs = [_read([bytes(r["x"][name]) for r in rows], width) for name, width in zip(("content", "metadata"), widths, strict=True)]
+        out = []
+        for i in range(len(trainers)):
+            given = []
+            for k in (0, 1):
+                mine = [(j, label) for j, r in enumerate(rows) for label in (0, 1) if 4 * i + 2 * k + label in r["given"]]
+                at = np.array([j for j, _ in mine], np.int64)
+                given.append(([x[at] for x in xs], np.array([label for _, label in mine], np.float64)))
+            out.append(given)
+        return out
+
+
+def select_words(train: DataFrame) -> list[str]:
+    """The words of the training rows most associated (chi-square) with one of the labels."""
+    n = F.lit(float(train.count()))
+    words = train.select(F.explode("words").alias("word"), (F.col("toxic") > 0).cast("double").alias("y1"), (F.col("quality") <= 0).cast("double").alias("y2"))
+    totals = train.agg(F.sum((F.col("toxic") > 0).cast("double")).alias("p1"), F.sum((F.col("quality") <= 0).cast("double")).alias("p2")).first()
     held = words.groupBy("word").agg(F.count("*").cast("double").alias("k"), F.sum("y1").alias("a1"), F.sum("y2").alias("a2"))
 
     def chi2(a: str, p: float | None):
@@ -241,103 +372,124 @@ def select_words(sample: DataFrame) -> list[str]:
     return [r["word"] for r in held.filter(F.col("score") >= LEAST_CHI2).orderBy(F.desc("score"), "word").limit(MOST_WORDS).collect()]
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, most_pool: int = MOST_POOL) -> Model:
-    """Learn from at most most_labelled labelled rows and most_pool others, chosen by a hash of doc_id."""
+def fit(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, rounds: int = ROUNDS) -> tuple[Model, DataFrame | None]:
+    """A model, learnt from at most most_labelled labelled rows and all others, and the features of all rows."""
+    spark = docs.sparkSession
+    checkpoint_dir(spark)
     docs = _inputs(docs)
     marks = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    # at most most_labelled rows of three numbers are broadcast, and as many texts looked at
     chosen = marks.orderBy(F.xxhash64(F.lit("labelled"), "doc_id"), "doc_id").limit(most_labelled)
-    rest = docs.select("doc_id").join(marks.select("doc_id"), "doc_id", "left_anti").distinct()
-    rest = rest.orderBy(F.xxhash64(F.lit("pool"), "doc_id"), "doc_id").limit(most_pool)
-    wanted = chosen.withColumn("labelled", F.lit(True)).unionByName(rest.withColumn("labelled", F.lit(False)), allowMissingColumns=True)
-    # at most most_labelled + most_pool rows of four numbers are broadcast, and as many texts looked at
-    sample = docs.join(F.broadcast(wanted), "doc_id").dropDuplicates(["lang", "source", "text", "labelled"])
-    sample = sample.mapInArrow(_sampled, "doc_id long, labelled boolean, quality int, toxic int, content binary, metadata binary, words array<string>")
-    checkpoint_dir(docs.sparkSession)
-    sample = sample.checkpoint()
-    model = Model(select_words(sample), np.empty(0, np.int64))
-    # what reaches the driver: compressed features and places of selected words of the sampled rows
-    chosen_words = F.from_json(F.lit(json.dumps(model.vocabulary)), "array<string>")
-    rows = sample.withColumn("words", F.array_intersect("words", chosen_words)).collect()
-    rows.sort(key=lambda r: (r["doc_id"], bytes(r["content"])))
-    marked, pool = [r for r in rows if r["labelled"]], [r for r in rows if not r["labelled"]]
-    if not marked:
+    twentieth = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(20))
+    part = F.when(twentieth < TRAIN, 0).when(twentieth < TRAIN + CHOOSE, 1).when(twentieth < TRAIN + CHOOSE + CALIBRATE, 2).otherwise(3)
+    sample = docs.join(F.broadcast(chosen), "doc_id").withColumn("part", part)
+    # copies of one text are one row, of the part that comes first and its smallest doc_id
+    sample = sample.groupBy("text", "lang", "source", "n_chars").agg(F.min("part").alias("part"), F.min("doc_id").alias("doc_id"), F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    words = "doc_id long, part int, quality int, toxic int, text string, lang string, source string, n_chars long, words array<string>"
+    sample = sample.select("doc_id", "part", "quality", "toxic", "text", "lang", "source", "n_chars").mapInArrow(_worded, words).checkpoint()
+    model = Model(select_words(sample.filter("part = 0")), np.arange(_PAGE + _N * _N))
+    rows = _collected(sample, model)
+    if not rows:
         model.good, model.toxic = Head(rate=1.0), Head(rate=0.0)
-        return model
-    value = lambda name: np.array([-1 if r[name] is None else r[name] for r in marked])
-    quality, toxic = value("quality"), value("toxic")
-    shares = lambda r: np.frombuffer(zlib.decompress(bytes(r["content"])), np.float32)
-    used = np.zeros(_N * _N + 1)
-    for r in marked:
-        used += shares(r) > 0
-    model.columns = np.flatnonzero(used / len(marked) >= 0.005)
-    place = {w: i for i, w in enumerate(model.vocabulary)}
-
-    def views(some):
-        one = np.zeros((len(some), len(model.columns) + len(place)), np.float32)
-        for i, r in enumerate(some):
-            one[i, : len(model.columns)] = shares(r)[model.columns]
-            for w in r["words"]:
-                one[i, len(model.columns) + place[w]] = 1
-        two = np.stack([np.frombuffer(bytes(r["metadata"]), np.float32) for r in some]) if some else np.zeros((0, 2 * _BUCKETS + 6), np.float32)
-        return [one, two]
-
-    xs, free = views(marked), views(pool)
-    for name, y in (("good", quality), ("toxic", toxic)):
-        have = y >= 0
-        head = co_train([x[have] for x in xs], (y[have] > 0).astype(np.float64), free)
-        setattr(model, name, head)
-    if not (quality >= 0).any():
-        model.good = Head(rate=1.0)
-    if not (toxic >= 0).any():
-        model.toxic = Head(rate=0.0)
-    return model
+        return model, None
+    part = np.array([r["part"] for r in rows])
+    used = np.stack([r["metadata"] for r in rows])
+    trained = part == 0 if (part == 0).any() else np.ones(len(part), bool)
+    model.columns = np.flatnonzero((np.arange(used.shape[1]) < _PAGE) | ((used[trained] > 0).mean(0) >= 0.005))
+    xs = [np.stack([r["content"] for r in rows]), used[:, model.columns]]
+    value = lambda name: np.array([-1 if r[name] is None else r[name] for r in rows])
+    marked = {"good": value("quality"), "toxic": value("toxic")}
+    trainers = [Trainer([x[y >= 0] for x in xs], (y[y >= 0] > 0).astype(np.float64), part[y >= 0]) for y in marked.values()]
+    told = spark.sparkContext.broadcast(model)
+    features = docs.mapInArrow(_extract(told), _FEATURES).checkpoint()
+    pool = TablePool(features.join(marks.select("doc_id"), "doc_id", "left_anti"), (xs[0].shape[1], xs[1].shape[1]))
+    for (name, y), head, none in zip(marked.items(), co_train(trainers, pool, rounds), (1.0, 0.0), strict=True):
+        setattr(model, name, head if (y >= 0).any() else Head(rate=none))
+    return model, features
 
 
 def _inputs(docs: DataFrame) -> DataFrame:
-    column = lambda c: F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), column("lang").alias("lang"), column("source").alias("source"))
+    names = {c.lower() for c in docs.columns}
+    column = lambda c, kind: (F.col(c).try_cast(kind) if c in names else F.lit(None).cast(kind)).alias(c)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), column("lang", "string"), column("source", "string"), column("n_chars", "bigint"))
 
 
-def _sampled(batches):
+def _worded(batches):
     for batch in batches:
-        get = lambda c: batch.column(batch.schema.get_field_index(c))
-        texts = get("text").to_pylist()
-        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-        langs, sources = get("lang").to_pylist(), get("source").to_pylist()
-        yield pa.RecordBatch.from_arrays(
-            [get("doc_id"), get("labelled"), get("quality").cast(pa.int32()), get("toxic").cast(pa.int32()), pa.array([zlib.compress(content(b).tobytes(), 1) for b in raw], pa.binary()), pa.array([metadata(b, a, s).tobytes() for b, a, s in zip(raw, langs, sources, strict=True)], pa.binary()), pa.array([sorted(words_of(t)) for t in texts], pa.list_(pa.string()))],
-            names=["doc_id", "labelled", "quality", "toxic", "content", "metadata", "words"],
-        )
+        words = pa.array([sorted(set(words_of(t))) for t in batch.column(4).to_pylist()], pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([*batch.columns, words], names=[*batch.schema.names, "words"])
+
+
+def _collected(sample: DataFrame, model: Model) -> list[dict]:
+    """The features of the labelled sample, in a fixed order; texts stay on the executors."""
+    told = sample.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            one, two = told.value.features(*(batch.column(i).to_pylist() for i in range(4, 8)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(_stored(one), pa.binary()), pa.array(_stored(two), pa.binary())], names=["doc_id", "part", "quality", "toxic", "content", "metadata"])
+
+    rows = sample.drop("words").mapInArrow(run, "doc_id long, part int, quality int, toxic int, content binary, metadata binary").collect()
+    rows.sort(key=lambda r: (r["doc_id"], bytes(r["content"]), bytes(r["metadata"])))
+    unpack = lambda v: np.frombuffer(zlib.decompress(bytes(v)), np.float16).astype(np.float32)
+    return [{**r.asDict(), "content": unpack(r["content"]), "metadata": unpack(r["metadata"])} for r in rows]
 
 
 ADDED = ("p_quality", "p_toxic", "score", "accepted")
+_SCORES = [*[T.StructField(c, T.DoubleType()) for c in ADDED[:3]], T.StructField("accepted", T.BooleanType())]
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, keep: list[str] | None = None, model: Model | None = None) -> DataFrame:
-    """docs (or the columns in keep) with p_quality, p_toxic, score and accepted."""
-    docs = fresh(docs, *ADDED)
-    model = model or fit(docs, labels)
-    keep = docs.columns if keep is None else keep
-    told = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand weights and words
-    column = lambda c: F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")
-    source = docs.select(*keep, F.coalesce("text", F.lit("")).alias("_text"), column("lang").alias("_lang"), column("source").alias("_source"))
-    out = T.StructType([*[docs.schema[c] for c in keep], *[T.StructField(c, T.DoubleType()) for c in ADDED[:3]], T.StructField("accepted", T.BooleanType())])
-    k = len(keep)
+def _scored(told, threshold: float, schema: pa.Schema, read):
+    """The first column as it is, and the scores of what read makes of the others."""
 
-    def scored(batches):
+    def run(batches):
         m = told.value
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                texts, langs, sources = (batch.column(k + i).to_pylist() for i in range(3))
-                raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-                xs = m.features(texts, raw, langs, sources)
-                good, toxic = m.good.probability(xs), m.toxic.probability(xs)
+                good, toxic = m.scores(read(m, [batch.column(i).to_pylist() for i in range(1, batch.num_columns)]))
                 score = good * (1 - toxic)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:k], pa.array(good), pa.array(toxic), pa.array(score), pa.array(score >= threshold)], names=[*keep, *ADDED])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(good), pa.array(toxic), pa.array(score), pa.array(score >= threshold)], schema=schema)
+
+    return run
+
+
+def _score(rows: DataFrame, model: Model, threshold: float, read) -> DataFrame:
+    told = rows.sparkSession.sparkContext.broadcast(model)  # a few thousand weights and words
+    out = T.StructType([rows.schema[0], *_SCORES])
+    return rows.mapInArrow(_scored(told, threshold, to_arrow_schema(out), read), out)
+
+
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, model: Model | None = None) -> DataFrame:
+    """docs with p_quality, p_toxic, score and accepted."""
+    scored = _classified(docs, model or fit(docs, labels)[0], threshold)
+    return scored.select(*unpacked(docs, without=ADDED), *ADDED)
+
+
+def _classified(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """The input's rows as structs `row`, and the added columns."""
+    given = _inputs(docs).columns
+    names = {c.lower() for c in docs.columns}
+    value = lambda c: F.col(c) if c in names else F.lit(None)
+    kinds = {"text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
+    read = [F.coalesce(F.col("text"), F.lit("")).alias("text"), *[value(c).try_cast(kinds[c]).alias(c) for c in given[2:]]]
+    return _score(docs.select(packed(docs), *read), model, threshold, lambda m, columns: m.features(*columns))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that are accepted, with the input's columns, whatever their names."""
+    model = fit(docs, labels)[0]
+    return _classified(docs, model, threshold).filter("accepted").select(*unpacked(docs))
+
 
-    return source.mapInArrow(scored, out)
+def score_ids(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id and the scores of all rows, from the features that the fit has stored."""
+    model, features = fit(docs, labels)
+    if features is None:
+        return classify(docs.select("doc_id", "text"), labels, threshold, model).drop("text")
+    widths = _SHAPE + len(model.vocabulary), len(model.columns)
+    return _score(features.select("doc_id", "content", "metadata"), model, threshold, lambda m, columns: [_read(c, w) for c, w in zip(columns, widths, strict=True)])
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:
-    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return score_ids(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
