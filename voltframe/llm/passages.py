@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ._common import Ranges, dealt, id_key, packed, partitions, quoted, table
-from ._hashing import chunks, member, pack, slices, unpack, utf8, window_hashes, word_hashes
+from ._hashing import chunks, pack, slices, unpack, utf8, window_hashes, word_hashes
 
 N = 50
 SHARD_BYTES = 4 << 20
@@ -112,11 +112,13 @@ def _confirm(batches):
         every, shards = every[order], shards[order]
         same = np.flatnonzero((every[1:] == every[:-1]) & (shards[1:] != shards[:-1]))
         source, target, window = shards[same], shards[same + 1], every[same]
-        order = np.lexsort((window, target, source))
+        order = np.lexsort((window, source))
         source, target, window = source[order], target[order], window[order]
-        cuts = np.flatnonzero(np.r_[True, (source[1:] != source[:-1]) | (target[1:] != target[:-1])]) if len(source) else np.empty(0, np.int64)
+        cuts = np.flatnonzero(np.r_[True, source[1:] != source[:-1]]) if len(source) else np.empty(0, np.int64)
+        pressed = zstandard.ZstdCompressor(level=1)
         data = [pack(w) for w in np.split(window, cuts[1:])] if len(cuts) else []
-        return pa.RecordBatch.from_arrays([pa.array(source[cuts]), pa.array(target[cuts]), pa.array(data, pa.binary())], names=["shard", "other", "data"])
+        others = [pressed.compress(t.tobytes()) for t in np.split(target, cuts[1:])] if len(cuts) else []
+        return pa.RecordBatch.from_arrays([pa.array(source[cuts]), pa.array(others, pa.binary()), pa.array(data, pa.binary())], names=["shard", "others", "data"])
 
     for batch in batches:
         for r, s, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
@@ -171,10 +173,10 @@ def _texts(documents: pa.Table) -> list[bytes]:
     return [opened.decompress(v) for v in documents.column("data").to_pylist()]
 
 
-def passages(ids: np.ndarray, texts: list[bytes], n: int, wanted: dict[int, np.ndarray], itself: int) -> dict[int, list[tuple[int, bytes]]]:
+def passages(ids: np.ndarray, texts: list[bytes], n: int, window: np.ndarray, other: np.ndarray, itself: int) -> dict[int, list[tuple[int, bytes]]]:
     """What a shard, ordered by id, sends: by shard, (doc_id of the source, words) of each passage.
 
-    wanted: by other shard, the sorted hashes of windows that it has as well.
+    window and other: hashes of windows of the shard, and for each another shard that has it next.
     """
     hashes, owner, start = _windows(texts, n)
     out: dict[int, list[tuple[int, bytes]]] = {}
@@ -183,22 +185,25 @@ def passages(ids: np.ndarray, texts: list[bytes], n: int, wanted: dict[int, np.n
     order = np.argsort(hashes, kind="stable")
     new = np.r_[True, hashes[order][1:] != hashes[order][:-1]]
     first = order[new]  # of each window, its first place
+    known = hashes[first]
     last = np.maximum.reduceat(ids[owner[order]], np.flatnonzero(new))
-    own = np.sort(first[last > ids[owner[first]]])
-    first_here = np.zeros(len(hashes), bool)
-    first_here[first] = True
+    own = first[last > ids[owner[first]]]
+    at = np.minimum(np.searchsorted(known, window), len(known) - 1)
+    there = known[at] == window
+    place = np.concatenate([own, first[at[there]]])
+    target = np.concatenate([np.full(len(own), itself, np.int32), other[there]])
+    if not len(place):
+        return out
+    order = np.lexsort((place, target))
+    place, target = place[order], target[order]
+    begins = np.flatnonzero(np.r_[True, (target[1:] != target[:-1]) | (place[1:] != place[:-1] + 1) | (owner[place[1:]] != owner[place[:-1]])])
+    ends = np.r_[begins[1:], len(place)] - 1
     split: dict[int, list[bytes]] = {}
-    places = [(itself, own), *((s, np.flatnonzero(member(hashes, known) & first_here)) for s, known in wanted.items())]
-    for shard, at in places:
-        if not len(at):
-            continue
-        begins = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]])])
-        ends = np.r_[begins[1:], len(at)] - 1
-        for a, b in zip(at[begins].tolist(), at[ends].tolist(), strict=True):
-            d = int(owner[a])
-            if d not in split:
-                split[d] = texts[d].split()
-            out.setdefault(shard, []).append((int(ids[d]), b" ".join(split[d][start[a] : start[b] + n])))
+    for shard, a, b in zip(target[begins].tolist(), place[begins].tolist(), place[ends].tolist(), strict=True):
+        d = int(owner[a])
+        if d not in split:
+            split[d] = texts[d].split()
+        out.setdefault(shard, []).append((int(ids[d]), b" ".join(split[d][start[a] : start[b] + n])))
     return out
 
 
@@ -210,10 +215,11 @@ def _cut(n: int):
         pressed = zstandard.ZstdCompressor(level=3)
 
         def done(shard, messages, documents):
-            wanted: dict[int, list[np.ndarray]] = {}
-            for other, data in zip(messages.column("other").to_pylist(), messages.column("data").to_pylist(), strict=True):
-                wanted.setdefault(other, []).append(unpack(data))
-            found = passages(documents.column("id").to_numpy(), _texts(documents), n, {s: np.sort(np.concatenate(v)) for s, v in wanted.items()}, shard)
+            opened = zstandard.ZstdDecompressor()
+            join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
+            window = join([unpack(v) for v in messages.column("data").to_pylist()], np.uint64)
+            other = join([np.frombuffer(opened.decompress(v), np.int32) for v in messages.column("others").to_pylist()], np.int32)
+            found = passages(documents.column("id").to_numpy(), _texts(documents), n, window, other, shard)
             for target, rows in found.items():
                 data = pressed.compress(b"\n".join(words for _, words in rows))
                 yield pa.RecordBatch.from_arrays([pa.array([target], pa.int32()), pa.array([[i for i, _ in rows]], pa.list_(pa.int64())), pa.array([data], pa.binary())], names=["shard", "ids", "data"])
@@ -317,7 +323,7 @@ def _run(docs: DataFrame, n: int, digest: bool, shard_bytes: int) -> DataFrame:
     base = base.withColumn("shard", (F.lit(len(cuts) - 1) - cuts.index(F.col("id"))).cast("int"))
     ranges = max(1, volume // 6 // RANGE_WINDOWS * 2 + 1, spark.sparkContext.defaultParallelism)
     reports = base.select("data", "shard").mapInArrow(_report(n, ranges), _TOLD)
-    told = dealt(reports, partitions(spark, volume), "range").sortWithinPartitions("range").mapInArrow(_confirm, "shard int, other int, data binary")
+    told = dealt(reports, partitions(spark, volume), "range").sortWithinPartitions("range").mapInArrow(_confirm, "shard int, others binary, data binary")
 
     frames = base.select("shard", F.lit(1).alias("kind"), "id", "data", "row")
     frames = frames.mapInArrow(_compressed, T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "data" else f for f in frames.schema]))
