@@ -2,13 +2,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from voltframe.contract import ContractError
 from voltframe.operators import spikes
 from voltframe.operators.dedup import accounting, keep_last
-from voltframe.operators.enrich import difference, lookup, orphans, reconcile
+from voltframe.operators.enrich import difference, freshness, lookup, orphans, reconcile
 from voltframe.operators.quality import Rule, declared_rule, reasons
 from voltframe.operators.upsert import insert_absent, ordered_json, upsert
 
@@ -99,9 +100,49 @@ def test_daily_metrics(spark):
     assert poor.top10_interval_spend_share is None
 
 
-def test_spike_contract():
-    assert spikes.SpikeRules.from_contract({}) == spikes.SpikeRules()
-    assert spikes.SpikeRules.from_contract({"spike_rules": {"absolute": 100, "window_hours": 6}}).window_hours == 6
-    for bad in ({"absolute": -1}, {"other": 1}, [], {"factor": "5"}, {"factor": True}):
+def test_spike_rules_of_a_source():
+    read = spikes.SpikeRules.from_source
+    assert read({}) == spikes.SpikeRules()
+    assert read({"spike_rules": {"absolute": 100, "window_hours": 6}}).window_hours == 6
+    assert read({"spike_rules": {"severity": {"low": 1, "top": 9}}}).severity == (("top", 9.0), ("low", 1.0))
+    for bad in ({"absolute": -1}, {"other": 1}, [], {"factor": "5"}, {"factor": True}, {"min_history": 1.5}, {"severity": {}}, {"severity": {"x": -1}}, {"severity": [1]}):
         with pytest.raises(ContractError, match="INVALID_SPIKE_RULES"):
-            spikes.SpikeRules.from_contract({"spike_rules": bad})
+            read({"spike_rules": bad})
+
+
+def test_packaged_sources_carry_the_documented_defaults():
+    from voltframe.contract import load
+    from voltframe.plans.run import DEFAULT_LIVE_METADATA, DEFAULT_METADATA
+
+    for path, mode in ((DEFAULT_METADATA, "fixture"), (DEFAULT_LIVE_METADATA, "live")):
+        market = load(path, mode=mode).market().definition
+        assert spikes.SpikeRules.from_source(market) == spikes.SpikeRules() and market["spike_rules"]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_trailing_medians_against_brute_force(seed):
+    rng = np.random.default_rng(seed)
+    at = np.sort(rng.integers(0, 4000, 600))
+    price = np.round(rng.normal(size=600), 1)
+    price[rng.random(600) < 0.05] = np.nan
+    median, count = spikes.trailing_medians(at, price, 500, 7)
+    for i in range(600):
+        near = price[(at >= at[i] - 500) & (at <= at[i] - 7)]
+        near = near[~np.isnan(near)]
+        assert count[i] == len(near) and (len(near) == 0 or abs(median[i] - np.median(near)) < 1e-9)
+
+
+def test_blocks_of_hours_meet_without_a_seam(spark, monkeypatch):
+    """One region with all rows, over blocks far shorter than the window, gives what one block gives."""
+    rows = prices(spark, [10 + (i * 37) % 11 + (200 if i % 97 == 0 else 0) for i in range(700)])
+    rows = rows.union(rows.limit(1).withColumn("interval_utc", F.lit(None).cast("timestamp")))
+    shown = lambda: sorted(map(repr, spikes.flag(rows.repartition(4)).collect()))
+    whole = shown()
+    monkeypatch.setattr(spikes, "BLOCK_HOURS", 1)
+    assert shown() == whole and any("relative" in r for r in whole) and len(whole) == 701
+
+
+def test_freshness(spark):
+    df = spark.createDataFrame([("a", datetime(2024, 1, 1, 0, 0, 5)), ("a", datetime(2024, 1, 1)), ("b", None)], "s string, at timestamp")
+    got = {r.s: r.lag_seconds for r in freshness(df, ["s"], "at", F.lit("2024-01-01 00:01:00")).collect()}
+    assert got == {"a": 55, "b": None}

@@ -49,3 +49,10 @@ def reconcile(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
 def difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows, with multiplicity, that one side has beyond the other; empty if a replay agrees."""
     return a.exceptAll(b).withColumn("side", F.lit("left")).union(b.exceptAll(a).withColumn("side", F.lit("right")))
+
+
+def freshness(events: DataFrame, by: Sequence[str], at: str, now) -> DataFrame:
+    """Of each source the latest event and how many whole seconds it lies behind the run."""
+    latest = events.groupBy(*by).agg(F.max(at).alias("latest"))
+    second = F.date_trunc("second", F.col("latest").cast("timestamp"))
+    return latest.withColumn("lag_seconds", (F.unix_seconds(now.cast("timestamp")) - F.unix_seconds(second)).cast("bigint"))
