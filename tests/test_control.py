@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from voltframe.contract import ContractError, load
 from voltframe.control import ControlPlane
 from voltframe.plans.run import DEFAULT_METADATA, RESOURCES, run
-from voltframe.streaming import start_refinement
+from voltframe.plans.publish import published
+from voltframe.streaming import compact, silver, start_refinement
 
 SOURCES = json.loads(DEFAULT_METADATA.read_text())["sources"]
 
@@ -41,7 +42,7 @@ def test_control_plane_from_sources_to_evidence(spark, tmp_path):
     assert [(r.run_id, r.accepted_count, r.gold_count, str(r.created_at)) for r in plane.recent_runs(status="succeeded").collect()] == [("r1", 8, 3, "2024-01-05 00:00:00")]
     assert plane.table("pipeline_run_sources").count() == 2 and plane.recent_runs(status="failed").count() == 0
 
-    gold = spark.read.parquet((tmp_path / "out" / "gold").as_uri())
+    gold = spark.read.parquet(published(spark, tmp_path / "out") + "/gold")
     plane.annotate("a1", "NSW1|2024-04-07T00:00:00Z", "seen", "open", "ana", at(7))
     plane.annotate("a1", "NSW1|2024-04-07T00:00:00Z", "checked", "closed", "bo", at(8))
     plane.annotate("a2", "NSW1|1999-01-01T00:00:00Z", "gone", "open", "ana", at(8))
@@ -56,6 +57,12 @@ def test_control_plane_from_sources_to_evidence(spark, tmp_path):
         plane.record_run(result, "s-9")
     with pytest.raises(ContractError, match="INVALID_STATUS"):
         plane.record_run(result, "s-1", status="odd")
+    with pytest.raises(ContractError, match="ROLE_MAY_NOT_WRITE"):
+        plane.annotate("a3", "k", "n", "open", "eve", role="viewer")
+    again = plane.run_snapshot("s-1", root, tmp_path / "out2", "r2")
+    assert again.manifest["run_id"] == "r2" and plane.recent_runs().count() == 2
+    with pytest.raises(ContractError, match="UNAPPROVED_LICENCE"):
+        plane.run_snapshot("s-1", root, tmp_path / "out3", "r3", approved_licences=set())
     with pytest.raises(ContractError, match="UNKNOWN_SNAPSHOT"):
         plane.export_snapshot("s-9", tmp_path / "x.json")
 
@@ -68,12 +75,18 @@ def test_streams_resolve_late_rows_like_one_batch(spark, tmp_path):
 
     def go():
         start_refinement(spark, landing.as_uri(), source, out, (tmp_path / "checkpoint").as_uri(), "2024-04-07T00:00:00Z").awaitTermination()
-        return sorted((r.region, r.demand_mw) for r in spark.read.parquet((out / "silver").as_uri()).collect())
+        return sorted((r.region, r.demand_mw) for r in silver(spark, out, source).collect())
 
     (landing / "a.jsonl").write_text(row(ingestion_sequence=3, demand_mw=30) + "\n\nnot json\n")
     assert go() == [("NSW1", 30.0)]
     (landing / "b.jsonl").write_text(row(ingestion_sequence=2, demand_mw=20) + "\n" + row(region="VIC1", demand_mw=5) + "\n")
     assert go() == [("NSW1", 30.0), ("VIC1", 5.0)]
     assert go() == [("NSW1", 30.0), ("VIC1", 5.0)]
+    compact(spark, out, source)
+    assert go() == [("NSW1", 30.0), ("VIC1", 5.0)] and not list((out / "parts").glob("batch=*"))
+    (landing / "c.jsonl").write_text(row(region="VIC1", demand_mw=6, ingestion_sequence=2) + "\n")
+    assert go() == [("NSW1", 30.0), ("VIC1", 6.0)]
+    compact(spark, out, source)
+    assert go() == [("NSW1", 30.0), ("VIC1", 6.0)]
     bad = spark.read.parquet((out / "quarantine").as_uri())
     assert [(r.source_row_number, r.reason_codes[0]) for r in bad.collect()] == [(3, "INVALID_JSON:malformed")]

@@ -1,7 +1,8 @@
 """Control plane: source definitions, immutable snapshots, runs and operator notes as Spark tables.
 
-Tables are Parquet folders under one root, replaced as a whole on change; they are small beside data.
-The constraints that a database would hold are checked before a write.
+Tables are Parquet folders under one root, on any storage, replaced as a whole on change; they are
+small beside data. The constraints that a database would hold are checked before a write. They can
+be copied to and from a database over JDBC (export_jdbc, import_jdbc).
 """
 from __future__ import annotations
 
@@ -17,8 +18,8 @@ from pyspark.sql import types as T
 from .contract import ContractError, need
 from .operators.enrich import orphans
 from .operators.upsert import insert_absent, ordered_json, upsert
-from .plans.publish import staged_output
-from .paths import uri
+from .plans.publish import published, version
+from .storage import Storage, below
 
 # The states that the tables admit.
 SNAPSHOT_STATES = ("validated", "superseded", "rejected")
@@ -34,7 +35,7 @@ def _schema(**columns) -> T.StructType:
 
 _DEFINITION = ("source_version provider dataset region url_or_fixture_path fixture_path file_name_regex format compression extraction_mode schedule event_timestamp_field ingestion_timestamp_field source_timezone schema_reference watermark_field deduplication_rule quarantine_policy licensing_provenance parser_key serverless_worker_key landing_volume_path").split()
 TABLES = {
-    "source_metadata": _schema(source_id=_TEXT, **{c: _TEXT for c in _DEFINITION}, natural_key=T.ArrayType(_TEXT), quality_checks=T.ArrayType(_TEXT), active=T.BooleanType(), target_catalog=_TEXT, target_schema=_TEXT, updated_at=_TIME, updated_by=_TEXT),
+    "source_metadata": _schema(source_id=_TEXT, **{c: _TEXT for c in _DEFINITION}, natural_key=T.ArrayType(_TEXT), quality_checks=T.ArrayType(_TEXT), allowed_hosts=T.ArrayType(_TEXT), spike_rules=_TEXT, active=T.BooleanType(), target_catalog=_TEXT, target_schema=_TEXT, updated_at=_TIME, updated_by=_TEXT),
     "metadata_versions": _schema(snapshot_id=_TEXT, source_ids=T.ArrayType(_TEXT), metadata_payload=_TEXT, created_at=_TIME, created_by=_TEXT, status=_TEXT),
     "pipeline_runs": _schema(run_id=_TEXT, snapshot_id=_TEXT, mode=_TEXT, window_start=_TIME, window_end=_TIME, status=_TEXT, bronze_count=_BIG, accepted_count=_BIG, quarantine_count=_BIG, silver_count=_BIG, gold_count=_BIG, watermark=_TEXT, freshness=_TEXT, failure_stage=_TEXT, failure_code=_TEXT, created_at=_TIME, updated_at=_TIME),
     "pipeline_run_sources": _schema(run_id=_TEXT, source_id=_TEXT, worker_run_id=_TEXT, status=_TEXT, bronze_count=_BIG, accepted_count=_BIG, quarantine_count=_BIG, silver_count=_BIG, watermark=_TEXT, freshness=_TEXT, failure_stage=_TEXT, failure_code=_TEXT, started_at=_TIME, completed_at=_TIME),
@@ -53,16 +54,22 @@ COMMENTS = {
 }
 
 
+def recent(rows: DataFrame, n: int, *, at: str = "created_at", key: str = "run_id", state: str = "status", status: str | None = None) -> DataFrame:
+    """The n most recent rows, of one state if it is given; of equal times the smallest key first."""
+    chosen = rows if status is None else rows.filter(F.col(state) == status)
+    return chosen.orderBy(F.desc(at), key).limit(n)
+
+
 @dataclass
 class ControlPlane:
     spark: SparkSession
-    root: Path
+    root: str | Path
 
     def table(self, name: str) -> DataFrame:
-        path = Path(self.root) / name
-        if not path.exists():
+        folder = published(self.spark, below(self.root, name))
+        if folder is None:
             return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.schema(TABLES[name]).parquet(uri(path.resolve()))
+        return self.spark.read.schema(TABLES[name]).parquet(folder)
 
     def replace(self, name: str, rows: DataFrame) -> None:
         """Check constraints and swap the whole table; readers see the old or the new one."""
@@ -76,24 +83,42 @@ class ControlPlane:
         if name in PARENTS:
             parent, on = PARENTS[name]
             need(orphans(rows, self.table(parent), on).isEmpty(), f"ORPHAN_ROWS:{name}")
-        with staged_output(Path(self.root).resolve() / name) as staging:
-            rows.coalesce(1).write.mode("overwrite").parquet(uri(staging))
+        with version(self.spark, below(self.root, name)) as folder:
+            rows.coalesce(1).write.parquet(folder)
 
     def register(self, database: str = "control") -> None:
         """Name the tables in the session's catalogue, with comments; a second call changes nothing."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         for name, schema in TABLES.items():
-            if not (Path(self.root) / name).exists():
+            place = below(self.root, name)
+            if published(self.spark, place) is None:
                 self.replace(name, self.table(name))
             columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet LOCATION '{uri((Path(self.root) / name).resolve())}'")
+            # a table is a name for the version in force
+            self.spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+            self.spark.sql(f"CREATE TABLE {database}.{name} ({columns}) USING parquet LOCATION '{published(self.spark, place)}'")
             self.spark.sql(f"COMMENT ON TABLE {database}.{name} IS '{COMMENTS[name]}'")
 
+    def export_jdbc(self, name: str, url: str, mode: str = "append", **options: str) -> None:
+        """Copy a table to a database; arrays as JSON text. The driver's jar must be on the class path."""
+        flat = self.table(name)
+        for f in TABLES[name]:
+            if isinstance(f.dataType, T.ArrayType):
+                flat = flat.withColumn(f.name, F.to_json(f.name))
+        flat.write.jdbc(url, name, mode, options)
+
+    def import_jdbc(self, name: str, url: str, **options: str) -> None:
+        """Replace a table with what a database has, after the same checks."""
+        rows = self.spark.read.jdbc(url, name, properties=options)
+        value = lambda f: F.from_json(f.name, f.dataType) if isinstance(f.dataType, T.ArrayType) else F.col(f.name).cast(f.dataType)
+        self.replace(name, rows.select(*[value(f).alias(f.name) for f in TABLES[name]]))
+
     def upsert_sources(self, definitions: Sequence[dict], by: str, at: Column | None = None) -> None:
         """Insert or replace definitions; target_catalog and target_schema of known sources stay."""
         schema = T.StructType([f for f in TABLES["source_metadata"] if f.name not in ("updated_at", "updated_by")])
         known = set(schema.names)
-        new = self.spark.createDataFrame([{**{k: v for k, v in d.items() if k in known}, "active": d.get("active", True)} for d in definitions], schema)
+        shown = lambda k, v: json.dumps(v, sort_keys=True) if k == "spike_rules" and v is not None else v
+        new = self.spark.createDataFrame([{**{k: shown(k, v) for k, v in d.items() if k in known}, "active": d.get("active", True)} for d in definitions], schema)
         touch = {"updated_at": F.current_timestamp() if at is None else at, "updated_by": F.lit(by)}
         self.replace("source_metadata", upsert(self.table("source_metadata"), new, ["source_id"], ["target_catalog", "target_schema"], touch))
 
@@ -114,17 +139,25 @@ class ControlPlane:
         self.replace("metadata_versions", insert_absent(self.table("metadata_versions"), new, ["snapshot_id"]))
         return self.table("metadata_versions").filter(F.col("snapshot_id") == snapshot_id)
 
-    def export_snapshot(self, snapshot_id: str, target: Path) -> Path:
+    def export_snapshot(self, snapshot_id: str, target: str | Path) -> str | Path:
         """The frozen contract as a file that a run can name."""
         row = self.table("metadata_versions").filter(F.col("snapshot_id") == snapshot_id).select("metadata_payload").first()
         if row is None:
             raise ContractError(f"UNKNOWN_SNAPSHOT:{snapshot_id}")
         document = json.loads(row[0])
-        document["sources"] = [{k: v for k, v in s.items() if v is not None} for s in document["sources"]]
-        target.parent.mkdir(parents=True, exist_ok=True)
-        target.write_text(json.dumps(document, sort_keys=True, indent=1), encoding="utf-8")
+        document["sources"] = [{k: json.loads(v) if k == "spike_rules" else v for k, v in s.items() if v is not None} for s in document["sources"]]
+        Storage(self.spark).write(target, json.dumps(document, sort_keys=True, indent=1).encode())
         return target
 
+    def run_snapshot(self, snapshot_id: str, root: str | Path, output: str | Path, run_id: str, **how):
+        """Run a frozen contract out of a root that holds its fixtures, and record the evidence."""
+        from .plans.run import run
+
+        contract = self.export_snapshot(snapshot_id, below(root, "metadata", f"{snapshot_id}.json"))
+        result = run(self.spark, contract, output, metadata_root=root, run_id=run_id, metadata_snapshot_id=snapshot_id, **how)
+        self.record_run(result, snapshot_id)
+        return result
+
     def record_run(self, result, snapshot_id: str, status: str = "succeeded", at: Column | None = None) -> None:
         """Evidence of a finished run: one row for it and one for each of its sources."""
         m = result.manifest
@@ -138,8 +171,9 @@ class ControlPlane:
         sources = self.spark.createDataFrame(rows, TABLES["pipeline_run_sources"]).withColumn("completed_at", now)
         self.replace("pipeline_run_sources", upsert(self.table("pipeline_run_sources"), sources, ["run_id", "source_id"]))
 
-    def annotate(self, annotation_id: str, gold_entity_key: str, note: str, status: str, author: str, at: Column | None = None) -> None:
-        """Add an operator's note, or change it, which raises its audit version."""
+    def annotate(self, annotation_id: str, gold_entity_key: str, note: str, status: str, author: str, at: Column | None = None, role: str = "operator") -> None:
+        """Add an operator's note, or change it, which raises its audit version. Other roles only read."""
+        need(role == "operator", f"ROLE_MAY_NOT_WRITE:{role}")
         now = F.current_timestamp() if at is None else at
         old = self.table("operator_annotations")
         new = self.spark.createDataFrame([(annotation_id, gold_entity_key, note, status, author)], "annotation_id string, gold_entity_key string, note string, status string, author_identity string")
@@ -148,9 +182,7 @@ class ControlPlane:
         self.replace("operator_annotations", merged)
 
     def recent_runs(self, n: int = 20, status: str | None = None) -> DataFrame:
-        runs = self.table("pipeline_runs")
-        runs = runs if status is None else runs.filter(F.col("status") == status)
-        return runs.orderBy(F.desc("created_at"), "run_id").limit(n)
+        return recent(self.table("pipeline_runs"), n, status=status)
 
     def annotation_orphans(self, gold: DataFrame) -> DataFrame:
         """Notes on rows that Gold does not have."""

@@ -8,15 +8,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import business_day, local_to_utc, utc_text
+from ..functions.time import business_day, the_one, utc_text
 from ..operators import spikes
 from ..operators.dedup import accounting, keep_last
-from ..operators.enrich import difference, lookup, orphans, reconcile
+from ..control import recent
+from ..operators.enrich import difference, freshness, lookup, orphans, reconcile
 from ..operators.quality import Rule, reasons
 from ..operators.upsert import insert_absent, ordered_json, upsert
 from ..session import ensure
 from ..sources.live import newest_link
-from ..sources.multirecord import carry_headers
+from ..sources.multirecord import DEMAND, PRICE, carry_headers, join_reports
+from . import catalog_runs
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -42,8 +44,6 @@ def query(sql: str):
     return add
 
 
-
-
 @query("""
 WITH m(n, region, wall, demand, price, seq) AS (VALUES (1,'NSW1',TIMESTAMP '2024-04-07 10:00:00',8200.0,72.5,1),(2,'NSW1',TIMESTAMP '2024-04-07 10:00:00',8250.0,70.0,2),
   (3,'VIC1',TIMESTAMP '2024-04-07 10:30:00',5100.0,65.0,1),(4,'QLD1',TIMESTAMP '2024-04-07 11:00:00',-1.0,80.0,1),(5,'NSW1',TIMESTAMP '2024-04-07 11:30:00',8300.0,NULL,1),(6,'NSW1',TIMESTAMP '2024-01-15 10:00:00',8100.0,68.0,1)),
@@ -130,14 +130,14 @@ def dedup_last_by_sequence(read, spark):
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, count(*) AS versions, strftime(min(l_shipdate), '%Y-%m-%d') AS first_seen, strftime(max(l_shipdate), '%Y-%m-%d') AS last_seen
+SELECT l_orderkey, l_linenumber, strftime(min(l_shipdate), '%Y-%m-%d') AS first_seen, strftime(max(l_shipdate), '%Y-%m-%d') AS last_seen
 FROM lineitem GROUP BY l_orderkey, l_linenumber
 """)
 def dedup_first_seen_order(read, spark):
-    """The place at which a key was first seen, which orders keys that are equal otherwise."""
-    rows = read("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("versions"), F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("b"))
+    """The last row of each key beside the place at which the key was first seen, which orders Silver."""
+    kept = keep_last(read("lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey"), ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"], first_seen="l_shipdate")
     day = lambda c: F.date_format(c, "yyyy-MM-dd")
-    return rows.select("l_orderkey", "l_linenumber", "versions", day("a").alias("first_seen"), day("b").alias("last_seen"))
+    return kept.select("l_orderkey", "l_linenumber", day("first_seen").alias("first_seen"), day("l_shipdate").alias("last_seen"))
 
 
 @query("""
@@ -164,8 +164,9 @@ def local_to_utc_strict(read, spark):
     from ..functions.time import utc_candidates
 
     rows = read("lineitem").withColumn("wall", F.col("l_shipdate").cast("timestamp") + F.expr("INTERVAL '02:30' HOUR TO MINUTE"))
-    n = F.size(utc_candidates(F.col("wall"), SYDNEY))
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", utc_text(local_to_utc(F.col("wall"), SYDNEY)).alias("interval_utc"), F.when(n == 1, "ok").when(n == 0, "gap").otherwise("fold").alias("verdict"))
+    rows = rows.withColumn("found", utc_candidates(F.col("wall"), SYDNEY))
+    n = F.size("found")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", utc_text(the_one(F.col("found"))).alias("interval_utc"), F.when(n == 1, "ok").when(n == 0, "gap").otherwise("fold").alias("verdict"))
 
 
 @query("""
@@ -191,46 +192,48 @@ def enrich_left_join(read, spark):
     return out.select("o_orderkey", "o_totalprice", F.col("l_partkey").alias("last_part"), F.col("l_quantity").alias("last_quantity"), F.col("l_extendedprice").alias("last_price"), F.col("matched").isNotNull().alias("matched"))
 
 
-@query("""
-WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem WHERE l_returnflag = 'A'
-           QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_extendedprice DESC) = 1),
-r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice FROM lineitem WHERE l_returnflag = 'R'
-           QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_extendedprice DESC) = 1)
-SELECT l_orderkey, l_linenumber, a.l_extendedprice AS price, r.l_quantity AS demand, greatest(a.l_partkey, r.l_partkey) AS sequence FROM a JOIN r USING (l_orderkey, l_linenumber)
+_REPORT = "QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY line DESC, v DESC, l_partkey DESC) = 1"
+
+
+@query(f"""
+WITH k AS (SELECT l_orderkey, l_linenumber, l_returnflag, l_partkey, l_partkey * 100000 + l_suppkey AS line, CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS p, CAST(CAST(round(l_quantity * 100) AS BIGINT) AS VARCHAR) AS q FROM lineitem),
+a AS (SELECT l_orderkey, l_linenumber, l_partkey, line, p AS v FROM k WHERE l_returnflag = 'A' {_REPORT}),
+r AS (SELECT l_orderkey, l_linenumber, l_partkey, line, q AS v FROM k WHERE l_returnflag = 'R' {_REPORT})
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(a.v AS DOUBLE) AS price, CAST(r.v AS DOUBLE) AS demand, greatest(a.l_partkey, r.l_partkey) AS sequence FROM a JOIN r USING (l_orderkey, l_linenumber)
 """)
 def price_regionsum_join(read, spark):
-    """Two kinds of records of a table, the last of each by key, joined in one aggregation."""
-    row = F.struct("l_shipdate", "l_partkey", "l_extendedprice", "l_quantity")
-    last = lambda flag: F.max(F.when(F.col("l_returnflag") == flag, row))
-    both = read("lineitem").filter(F.col("l_returnflag").isin("A", "R")).groupBy("l_orderkey", "l_linenumber").agg(last("A").alias("a"), last("R").alias("r")).filter("a IS NOT NULL AND r IS NOT NULL")
-    return both.select("l_orderkey", "l_linenumber", F.col("a.l_extendedprice").alias("price"), F.col("r.l_quantity").alias("demand"), F.greatest("a.l_partkey", "r.l_partkey").alias("sequence"))
+    """Two kinds of records, the last of each by key, joined in one aggregation; a third kind is passed over."""
+    text = lambda c: c.cast("string")
+    cents = lambda c: text(F.round(F.col(c) * 100).cast("bigint"))
+    report = F.when(F.col("l_returnflag") == "A", PRICE).when(F.col("l_returnflag") == "R", DEMAND).otherwise("OTHER")
+    fields = {"SETTLEMENTDATE": text(F.col("l_orderkey")), "REGIONID": text(F.col("l_linenumber")), "DISPATCHINTERVAL": text(F.col("l_partkey")), "RRP": cents("l_extendedprice"), "TOTALDEMAND": cents("l_quantity")}
+    values = F.create_map(*[x for name, v in fields.items() for x in (F.lit(name), v)])
+    data = read("lineitem").select(F.lit("f").alias("source_file"), (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("line"), report.alias("report"), F.lit("1").alias("version"), values.alias("values"))
+    out = join_reports(data)
+    return out.select(F.col("interval_datetime").cast("bigint").alias("l_orderkey"), F.col("region").cast("bigint").alias("l_linenumber"), F.col("price_per_mwh").alias("price"), F.col("demand_mw").alias("demand"), F.col("ingestion_sequence").alias("sequence"))
 
 
 @query("""
-WITH e AS (SELECT event_id AS line, CASE WHEN event_type = 'view' AND event_id % 7 = 0 THEN 'I' ELSE 'D' END AS kind, CAST(user_id % 10 AS VARCHAR) AS report, value FROM events),
+WITH e AS (SELECT event_id AS line, CASE WHEN event_type = 'view' AND event_id % 7 = 0 THEN 'I' ELSE 'D' END AS kind, CAST(user_id % 10 AS VARCHAR) AS report, CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS cell FROM events),
 c AS (SELECT *, last_value(CASE WHEN kind = 'I' THEN 'h' || CAST(line AS VARCHAR) END IGNORE NULLS) OVER (PARTITION BY report ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS header FROM e)
-SELECT line, report, header, CAST(value AS VARCHAR) = CAST(value AS VARCHAR) AS present FROM c WHERE kind = 'D' AND header IS NOT NULL
+SELECT line, report, header, cell FROM c WHERE kind = 'D' AND header IS NOT NULL
 """)
 def multirecord_header_carry(read, spark):
     """Data rows under the last header row before them."""
     kind = F.when((F.col("event_type") == "view") & (F.col("event_id") % 7 == 0), "I").otherwise("D")
     report = (F.col("user_id") % 10).cast("string")
-    cell = F.when(kind == "I", F.concat(F.lit("h"), F.col("event_id").cast("string"))).otherwise(F.col("value").cast("string"))
+    cell = F.when(kind == "I", F.concat(F.lit("h"), F.col("event_id").cast("string"))).otherwise(F.round(F.col("value") * 100).cast("bigint").cast("string"))
     records = read("events").select(F.lit("f").alias("source_file"), F.col("event_id").alias("line"), F.array(kind, F.lit("G"), report, F.lit("1"), cell).alias("fields"))
     data = carry_headers(records)
-    return data.select("line", "report", F.get(F.map_keys("values"), F.lit(0)).alias("header"), F.get(F.map_values("values"), F.lit(0)).isNotNull().alias("present"))
+    return data.select("line", "report", F.get(F.map_keys("values"), F.lit(0)).alias("header"), F.get(F.map_values("values"), F.lit(0)).alias("cell"))
 
 
 @query("""
-SELECT max(h) AS newest, (SELECT max(url) FROM pages WHERE regexp_matches(url, '(?i)example\\.(com|org)')) AS newest_url
-FROM (SELECT unnest(regexp_extract_all(html, 'href="(/[^"]*)"', 1)) AS h FROM pages) WHERE regexp_matches(h, '(?i)^/th')
-""".replace("\\\\", "\\"))
+SELECT max(h || '.zip') AS href FROM (SELECT unnest(regexp_extract_all(html, 'href="(/[^"]*)"', 1)) AS h FROM pages) WHERE regexp_matches(h, '(?i)^/th')
+""")
 def latest_by_lexical_max(read, spark):
-    """The lexically last of the links that match a pattern."""
-    links = read("pages").select(F.explode(F.regexp_extract_all("html", F.lit(r'href="(/[^"]*)"'), F.lit(1))).alias("href"))
-    newest = links.filter(F.col("href").rlike("(?i)^/th")).agg(F.max("href").alias("newest"))
-    url = read("pages").filter(F.col("url").rlike(r"(?i)example\.(com|org)")).agg(F.max("url").alias("u"))
-    return newest.withColumn("newest_url", url.scalar())
+    """The lexically last of the links of all pages that match a pattern."""
+    return newest_link(read("pages").select(F.regexp_replace("html", r'href="(/[^"]*)"', r'href="$1.zip"').alias("html")), "^/th")
 
 
 @query(r"""SELECT max(h) AS href FROM (SELECT unnest(regexp_extract_all('<a href="/a/PUBLIC_DISPATCHIS_' || page_id || '.zip">', 'href="([^"]+\.zip)"', 1)) AS h FROM pages)""")
@@ -263,10 +266,10 @@ def replay_diff(read, spark):
     return difference(a, b).groupBy("side").agg(F.count("*").alias("n"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F') AND l_quantity > 45")
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F')")
 def orphan_keys(read, spark):
     """Rows whose key has no parent."""
-    child = read("lineitem").filter("l_quantity > 45").select("l_orderkey", "l_linenumber", "l_partkey")
+    child = read("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     return orphans(child, read("orders").filter("o_orderstatus = 'F'").select("o_orderkey"), {"l_orderkey": "o_orderkey"})
 
 
@@ -316,7 +319,7 @@ def snapshot_json(read, spark):
 @query("SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate FROM orders WHERE o_orderstatus = 'F' ORDER BY orders.o_orderdate DESC, o_orderkey LIMIT 25")
 def recent_runs_topk(read, spark):
     """The most recent rows of a state; the limit is the report's."""
-    top = read("orders").filter("o_orderstatus = 'F'").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(25)
+    top = recent(read("orders"), 25, at="o_orderdate", key="o_orderkey", state="o_orderstatus", status="F")
     return top.select("o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"))
 
 
@@ -327,9 +330,15 @@ h AS (SELECT event_id, event_type, ts, value, CAST(json_extract_string(props, '$
 f AS (SELECT *, value > 300 AS by_value, coalesce(n >= 12 AND value > 5 * med AND value > 0, false) AS by_median FROM h)"""
 
 
+_NAMES = {"region": "event_type", "at": "ts", "price": "value"}
+
+
+def _intervals(read):
+    return read("events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "value", F.get_json_object("props", "$.k").cast("double").alias("demand"))
+
+
 def _flagged(read):
-    events = read("events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "value", F.get_json_object("props", "$.k").cast("double").alias("demand"))
-    return spikes.flag(events, region="event_type", at="ts", price="value")
+    return spikes.flag(_intervals(read), **_NAMES)
 
 
 @query(f"""
@@ -353,28 +362,41 @@ SELECT event_type, business_day, count(*) FILTER (WHERE by_value OR by_median) A
 FROM r GROUP BY event_type, business_day"""
 
 
-def _daily(read):
-    daily = spikes.daily_metrics(_flagged(read), SYDNEY, region="event_type", at="ts", price="value", demand="demand")
+def _daily(flagged):
+    daily = spikes.daily_metrics(flagged, SYDNEY, **_NAMES, demand="demand")
     return daily.withColumns({"business_day": F.date_format("business_day", "yyyy-MM-dd"), "max_price_interval": F.date_format("max_price_interval", "yyyy-MM-dd HH:mm:ss"), "vwap_per_mwh": F.round("vwap_per_mwh", 6), "top10_interval_spend_share": F.round("top10_interval_spend_share", 6)})
 
 
 @query(_DAILY)
 def spike_daily_metrics(read, spark):
     """Spikes, extremes, volume-weighted price and spend shares by region and business day."""
-    return _daily(read)
+    return _daily(_flagged(read))
+
+
+@query(f"""
+WITH m AS ({_DAILY}), {_FLAGGED.strip()}
+SELECT CAST((SELECT sum(spike_interval_count) FROM m) AS BIGINT) AS by_day, (SELECT count(*) FROM f WHERE by_value OR by_median) AS by_row
+""")
+def spike_reconciliation(read, spark):
+    """Spikes counted by day and by row: a run refuses to publish where they differ."""
+    flagged = _flagged(read)
+    by_row = flagged.agg(F.count_if("is_spike").alias("n"))
+    return _daily(flagged).agg(F.sum("spike_interval_count").alias("by_day")).withColumn("by_row", by_row.scalar())
 
 
 @query(f"SELECT event_type, business_day, top10_interval_spend_share FROM ({_DAILY})")
 def top10_spend_share(read, spark):
     """The share of a day's spend in its ten dearest intervals."""
-    return _daily(read).select("event_type", "business_day", "top10_interval_spend_share")
+    # flags have no part in it
+    plain = _intervals(read).withColumn("is_spike", F.lit(False))
+    return _daily(plain).select("event_type", "business_day", "top10_interval_spend_share")
 
 
 @query("SELECT l_returnflag, l_linestatus, round(sum(l_extendedprice * l_quantity) / nullif(sum(l_quantity), 0), 4) AS vwap, count(*) AS n FROM lineitem GROUP BY 1, 2")
 def vwap_by_key(read, spark):
     """Volume-weighted average price."""
     p, q = F.col("l_extendedprice"), F.col("l_quantity")
-    return read("lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.round(F.sum(p * q) / F.nullif(F.sum(q), F.lit(0.0)), 4).alias("vwap"), F.count("*").alias("n"))
+    return read("lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.round(spikes.vwap(p, q), 4).alias("vwap"), F.count("*").alias("n"))
 
 
 @query("""
@@ -383,16 +405,14 @@ FROM events GROUP BY event_type
 """)
 def freshness_lag(read, spark):
     """The latest event of each source and how far it lies behind the run."""
-    latest = read("events").groupBy("event_type").agg(F.max("ts").alias("m"))
-    lag = F.unix_timestamp(F.lit("2024-03-01 00:00:00").cast("timestamp")) - F.unix_timestamp(F.date_trunc("second", F.col("m").cast("timestamp")))
-    return latest.select("event_type", F.date_format("m", "yyyy-MM-dd'T'HH:mm:ss").alias("latest"), lag.cast("bigint").alias("lag_seconds"))
+    out = freshness(read("events"), ["event_type"], "ts", F.lit("2024-03-01 00:00:00"))
+    return out.select("event_type", F.date_format("latest", "yyyy-MM-dd'T'HH:mm:ss").alias("latest"), "lag_seconds")
 
 
 @query(f"WITH {_FLAGGED} SELECT event_type, count(*) AS spikes FROM f WHERE (by_value OR by_median) AND ts >= TIMESTAMP '2024-01-22' AND ts < TIMESTAMP '2024-01-29' GROUP BY 1 ORDER BY spikes DESC, event_type LIMIT 1")
 def benchmark_top_region(read, spark):
     """The region with the most spikes in a week; the limit is the question's."""
-    week = _flagged(read).filter("is_spike AND ts >= timestamp'2024-01-22' AND ts < timestamp'2024-01-29'")
-    return week.groupBy("event_type").agg(F.count("*").alias("spikes")).orderBy(F.desc("spikes"), "event_type").limit(1)
+    return spikes.top_region(_intervals(read), "2024-01-22", "2024-01-29", **_NAMES)
 
 
 @query("""
@@ -401,22 +421,8 @@ FROM events GROUP BY 1, 2
 """)
 def highest_interval(read, spark):
     """The highest value of each day and when it occurred; of equal ones the earliest."""
-    day = F.date_format("ts", "yyyy-MM-dd")
-    best = F.max(F.struct("value", (-F.unix_micros(F.col("ts").cast("timestamp"))).alias("t")))
-    rows = read("events").groupBy(day.alias("day"), "event_type").agg(best.alias("b"))
-    return rows.select("day", "event_type", F.col("b.value").alias("max_value"), F.date_format(F.timestamp_micros(-F.col("b.t")), "yyyy-MM-dd'T'HH:mm:ss").alias("max_at"))
-
-
-@query("""
-WITH s AS (SELECT c_nationkey, c_custkey, c_acctbal FROM customer),
-t AS (SELECT n.n_regionkey, c_acctbal FROM s JOIN nation n ON c_nationkey = n_nationkey)
-SELECT r_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance FROM t JOIN region ON n_regionkey = r_regionkey GROUP BY r_name
-""")
-def layer_totals(read, spark):
-    """Totals of a layer by a joined dimension."""
-    c = read("customer").select("c_nationkey", "c_acctbal").join(read("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"), "c_nationkey")
-    c = c.join(read("region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
-    return c.groupBy("r_name").agg(F.count("*").alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+    rows = spikes.highest_interval(_intervals(read), F.date_format("ts", "yyyy-MM-dd"), **_NAMES)
+    return rows.select("day", F.col("region").alias("event_type"), F.col("max_price").alias("max_value"), F.date_format("max_at", "yyyy-MM-dd'T'HH:mm:ss").alias("max_at"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -424,3 +430,5 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["spike_daily_metrics"](spark, sf_dir)
 
 
+QUERIES |= catalog_runs.QUERIES
+ORACLES |= catalog_runs.ORACLES

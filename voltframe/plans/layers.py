@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..contract import Contract, Source
 from ..functions.json import parse_strict
-from ..functions.time import utc_text
+from ..functions.time import let, utc_text
 from ..operators.dedup import keep_last
 from ..operators.enrich import lookup
 from ..operators.quality import split, validate
@@ -69,6 +69,37 @@ def gold(market: DataFrame, weather: DataFrame, contract: Contract, ingested_at:
 
 
 def as_json(df: DataFrame) -> Column:
-    """A row as JSON with sorted names, nulls written and UTC text for instants."""
-    shown = {f.name: utc_text(F.col(f.name)) if f.dataType.typeName() == "timestamp" else F.col(f.name) for f in df.schema}
-    return F.to_json(F.struct(*[shown[n].alias(n) for n in sorted(shown)]), {"ignoreNullFields": "false"})
+    """A row as JSON with sorted names, nulls written, UTC text for instants, and ASCII only.
+
+    Numbers that are not finite are the texts nan, inf and -inf.
+    """
+
+    def shown(f) -> Column:
+        value, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        if kind == "timestamp":
+            return utc_text(value)
+        return value
+
+    text = F.to_json(F.struct(*[shown(f).alias(f.name) for f in sorted(df.schema, key=lambda f: f.name)]), {"ignoreNullFields": "false"})
+    # to_json writes "NaN", "Infinity" and "-Infinity" as texts: only a value of a double is one
+    for f in (f for f in df.schema if f.dataType.typeName() in ("double", "float")):
+        for mine, theirs in (("NaN", "nan"), ("Infinity", "inf"), ("-Infinity", "-inf")):
+            special = F.col(f"`{f.name}`") == F.lit(float(theirs))  # NaN equals itself here
+            there = F.lit(f'"{f.name}":"{mine}"')
+            text = F.replace(text, F.when(special, there).otherwise(F.lit("\0")), F.lit(f'"{f.name}":"{theirs}"'))
+    return let(text, lambda t: F.when(t.rlike(r"[^\x00-\x7F]"), escaped(t)).otherwise(t))
+
+
+def escaped(text: Column) -> Column:
+    """Characters beyond ASCII as JSON escapes of UTF-16 units."""
+    unit = lambda u: F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(u), 4, "0")))
+    point = lambda c: F.conv(F.hex(F.encode(c, "UTF-32")), 16, 10).cast("bigint")
+
+    def shown(c: Column, v: Column) -> Column:
+        pair = F.concat(unit(F.lit(0xD800) + F.shiftright(v - 0x10000, 10)), unit(F.lit(0xDC00) + (v - 0x10000).bitwiseAND(F.lit(0x3FF))))
+        return F.when(F.octet_length(c) == 1, c).when(v >= 0x10000, pair).otherwise(unit(v))
+
+    def one(c: Column) -> Column:
+        return let(point(c), lambda v: shown(c, v))
+
+    return F.array_join(F.transform(F.split(text, ""), one), "")

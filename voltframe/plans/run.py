@@ -2,20 +2,20 @@
 from __future__ import annotations
 
 import json
-import shutil
 from dataclasses import dataclass
 from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..contract import MARKET_MEASURES, WEATHER_MEASURES, Contract, load
+from ..contract import MARKET_MEASURES, WEATHER_MEASURES, Contract, check_dispatch, load
 from ..operators import spikes
 from ..session import ensure
+from ..sources import ADAPTERS
 from . import layers
-from .publish import join_parts, staged_output
-from ..paths import uri
+from .publish import version
+from ..storage import Storage, below
 
 RESOURCES = Path(__file__).resolve().parent.parent / "resources"
 DEFAULT_METADATA = RESOURCES / "metadata" / "sources.json"
@@ -55,25 +55,22 @@ def reconcile(contract: Contract, bronze: dict, accepted: dict, rejected: dict,
     return out
 
 
-class _Store:
+class _Layers:
     """Layers of a run as Parquet; what a later layer needs is read back, not computed again."""
 
-    def __init__(self, spark: SparkSession, root: Path):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
 
     def write(self, df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
-        path = uri(self.root / name)
+        path = below(self.root, name)
         writer = df.write.mode("errorifexists")
         (writer.partitionBy(partition) if partition else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
-def _export(df: DataFrame, target: Path, order: list[str]) -> None:
-    """JSON lines in total order, one file."""
-    folder = target.with_name(f".{target.name}.parts")
-    shown = df.orderBy(*order)
-    shown.select(layers.as_json(df.drop("first_seen")).alias("value")).write.text(uri(folder))
-    join_parts(folder, target)
+def _export(df: DataFrame, target: str, order: list[str]) -> None:
+    """JSON lines in total order: a folder of parts, which follow each other by name. No task or driver holds them all."""
+    df.orderBy(*order).select(layers.as_json(df.drop("first_seen")).alias("value")).write.text(target)
 
 
 def run(
@@ -88,36 +85,42 @@ def run(
     output_format: str = "jsonl",
     declared_checks: bool = False,
     with_spikes: bool = False,
+    approved_versions: dict[str, set[str]] | None = None,
+    approved_licences: set[str] | None = None,
 ) -> RunResult:
     """Run a contract and publish its layers under output_dir.
 
-    output_format "jsonl" gives the exchange layout (a file a source and layer), "parquet" partitioned
-    tables. run_id makes the output write-once.
+    output_format "jsonl" gives the exchange layout (JSON lines a source and layer), "parquet" partitioned
+    tables; both below publish.published(spark, output_dir). run_id makes the output write-once. A source
+    that names an unknown parser, or a version or licence that is not approved, is refused before
+    anything is read; None approves all.
     """
     if output_format not in ("jsonl", "parquet"):
         raise ValueError(f"output_format must be jsonl or parquet, not {output_format!r}")
     ensure(spark)
-    given = Path(output_dir)
-    output = given if given.is_symlink() else given.resolve()
     mode = mode or "fixture"
-    contract = load(metadata_path, root=metadata_root, mode=mode, snapshot_id=metadata_snapshot_id, output=output)
+    contract = load(metadata_path, root=metadata_root, mode=mode, snapshot_id=metadata_snapshot_id, output=output_dir, spark=spark)
+    check_dispatch(contract, parsers=set(ADAPTERS), versions=approved_versions, licences=approved_licences)
+    rules = spikes.SpikeRules.from_source(contract.market().definition) if with_spikes else None
     ingested_at = contract.ingested_at(mode)
-    with staged_output(output, write_once=run_id is not None) as staging:
-        store = _Store(spark, staging if output_format == "parquet" else staging / ".layers")
+    with version(spark, output_dir, write_once=run_id is not None) as folder:
+        store = _Layers(spark, folder if output_format == "parquet" else below(folder, "_layers"))
         raw = _union([layers.bronze(spark, s, ingested_at) for s in contract.sources])
         raw = store.write(raw, "bronze", "source_id")
         mine = lambda df, s: df.filter(F.col("source_id") == s.source_id)
         refined = {s.source_id: layers.refine(mine(raw, s), s, declared_checks) for s in contract.sources}
         rejected = store.write(_union([r[1] for r in refined.values()]), "quarantine")
-        accepted = {name: r[0] for name, r in refined.items()}
-        kept = {s.source_id: layers.silver(accepted[s.source_id], s) for s in contract.sources}
+        # accepted rows are counted as they pass on to Silver: no third run of the rules
+        seen = {s.source_id: Observation(f"accepted {s.source_id}") for s in contract.sources}
+        kept = {s.source_id: layers.silver(refined[s.source_id][0].observe(seen[s.source_id], F.count("*").alias("n")), s) for s in contract.sources}
         silver = store.write(_union(list(kept.values())), "silver", "source_id")
+        accepted = {name: o.get["n"] for name, o in seen.items()}
         market, weather = (mine(silver, s).drop(*[c for c in ALL_MEASURES if c not in s.measures]) for s in (contract.market(), contract.weather()))
         enriched = layers.gold(market, weather, contract, ingested_at)
         if with_spikes:
-            enriched = spikes.flag(enriched, spikes.SpikeRules.from_contract(contract.document))
+            enriched = spikes.flag(enriched, rules)
         gold = store.write(enriched, "gold")
-        counted = reconcile(contract, _per_source(raw), _per_source(_union([a.select("source_id") for a in accepted.values()])), _per_source(rejected), _per_source(silver))
+        counted = reconcile(contract, _per_source(raw), accepted, _per_source(rejected), _per_source(silver))
         totals = {"bronze": raw.count(), "silver": silver.count(), "quarantine": rejected.count(), "gold": gold.count()}
         manifest = {
             "layers": totals,
@@ -130,7 +133,6 @@ def run(
         }
         manifest |= {k: v for k, v in (("run_id", run_id), ("metadata_snapshot_id", metadata_snapshot_id)) if v is not None}
         if with_spikes:
-            rules = spikes.SpikeRules.from_contract(contract.document)
             metrics = store.write(spikes.daily_metrics(gold, contract.market().source_timezone, rules), "spike_metrics")
             found = metrics.agg(F.coalesce(F.sum("spike_interval_count"), F.lit(0)).alias("n")).first()["n"]
             if found != gold.filter("is_spike").count():
@@ -138,12 +140,12 @@ def run(
             manifest["spikes"] = {"intervals": found, "region_days": metrics.count()}
         if output_format == "jsonl":
             for s in contract.sources:
-                _export(mine(raw, s), staging / "bronze" / f"{s.source_id}.jsonl", ["source_row_number"])
-                _export(mine(silver, s).drop(*[c for c in ALL_MEASURES if c not in s.measures]), staging / "silver" / f"{s.source_id}.jsonl", list(layers.SILVER_ORDER))
-            _export(rejected, staging / "quarantine" / "rejected.jsonl", ["source_id", "source_row_number"])
-            _export(gold, staging / "gold" / "market_weather.jsonl", list(layers.SILVER_ORDER))
+                _export(mine(raw, s), below(folder, "bronze", f"{s.source_id}.jsonl"), ["source_row_number"])
+                _export(mine(silver, s).drop(*[c for c in ALL_MEASURES if c not in s.measures]), below(folder, "silver", f"{s.source_id}.jsonl"), list(layers.SILVER_ORDER))
+            _export(rejected, below(folder, "quarantine", "rejected.jsonl"), ["source_id", "source_row_number"])
+            _export(gold, below(folder, "gold", "market_weather.jsonl"), list(layers.SILVER_ORDER))
             if with_spikes:
-                _export(metrics, staging / "gold" / "spike_metrics.jsonl", ["region", "business_day"])
-            shutil.rmtree(staging / ".layers")
-        (staging / "manifest.json").write_text(json.dumps(manifest, sort_keys=True, indent=2) + "\n", encoding="utf-8")
+                _export(metrics, below(folder, "gold", "spike_metrics.jsonl"), ["region", "business_day"])
+            Storage(spark).remove(store.root)
+        Storage(spark).write(below(folder, "manifest.json"), (json.dumps(manifest, sort_keys=True, indent=2) + "\n").encode())
     return RunResult(totals, manifest)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..contract import Source
 from ..functions.json import NOT_BLANK
-from ..paths import uri
+from ..storage import Storage, uri
 
 #: Larger files are read in splits.
 WHOLE_FILE_BYTES = 32 << 20
@@ -17,7 +17,8 @@ def numbered_lines(spark: SparkSession, path: str, whole: bool | None = None) ->
 
     Small files are read whole. Large ones are read in splits, whose lines are counted first; a line's
     number is its place in the split plus the lines of the splits before, so no file passes through
-    one task. (The split reader drops a byte-order mark; whole files keep it.)
+    one task. A byte-order mark stays in the first line, whatever the size: the split reader drops it,
+    so it is put back where a file begins with one.
     """
     if whole is None:
         sizes = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()
@@ -32,11 +33,14 @@ def numbered_lines(spark: SparkSession, path: str, whole: bool | None = None) ->
         offsets = counts.select("file", "block", F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("before"))
         inside = F.row_number().over(Window.partitionBy("file", "block").orderBy("at"))
         lines = raw.join(offsets, ["file", "block"]).withColumn("source_row_number", (F.col("before") + inside).cast("bigint"))
+        marked = Storage(spark).marked(path)  # names of files that begin with a mark
+        first = (F.col("source_row_number") == 1) & F.element_at(F.split("file", "/"), -1).isin(*marked)
+        lines = lines.withColumn("raw_line", F.when(first, F.concat(F.lit("\ufeff"), "raw_line")).otherwise(F.col("raw_line"))) if marked else lines
     return lines.filter(F.col("raw_line").rlike(NOT_BLANK)).select("file", "source_row_number", "raw_line")
 
 
 def read_source(spark: SparkSession, source: Source) -> DataFrame:
-    if not source.path.exists():
-        raise FileNotFoundError(str(source.path))
+    if not Storage(spark).exists(source.path):
+        raise FileNotFoundError(source.path)
     lines = numbered_lines(spark, uri(source.path))
     return lines.select("source_row_number", "raw_line", F.lit(source.fixture_path).alias("source_file"))
