@@ -60,3 +60,18 @@ def test_frame(spark, library):
     digest = sorted(map(tuple, token_counts._digest(df, PATH).collect()))
     assert digest == got
     assert token_counts.token_counts(df.limit(0), PATH).count() == 0
+
+
+@pytest.mark.parametrize("change", [{"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"add_prefix_space": True}}, {"pre_tokenizer": {"use_regex": False}}, {"model": {"ignore_merges": True}}, {"added_tokens": [{"content": "x", "lstrip": True}]}])
+def test_files_that_would_be_counted_otherwise_are_refused(tmp_path, change):
+    import json
+
+    spec = {"model": {"type": "BPE", "merges": ["a b"]}, "pre_tokenizer": {"type": "ByteLevel"}, "added_tokens": []}
+    path = tmp_path / "t.json"
+    path.write_text(json.dumps(spec))
+    assert token_counts.Counter(str(path)).count("ab b") == 3
+    for k, v in change.items():
+        spec[k] = {**spec[k], **v} if isinstance(spec.get(k), dict) else v
+    path.write_text(json.dumps(spec))
+    with pytest.raises(ValueError):
+        token_counts.Counter(str(path))

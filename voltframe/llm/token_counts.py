@@ -72,6 +72,10 @@ class Counter:
             spec = json.load(f)
         if spec["model"]["type"] != "BPE" or spec["pre_tokenizer"]["type"] != "ByteLevel":
             raise ValueError("only byte-level BPE files are read")
+        odd = [name for name in ("add_prefix_space", "normalizer", "ignore_merges", "dropout", "byte_fallback") if spec.get(name) or spec["model"].get(name) or spec["pre_tokenizer"].get(name)]
+        odd += [t["content"] for t in spec["added_tokens"] if t.get("single_word") or t.get("lstrip") or t.get("rstrip") or t.get("normalized")]
+        if odd or spec["pre_tokenizer"].get("use_regex") is False:
+            raise ValueError(f"counts would differ from the library's: {odd or ['use_regex']}")
         back = {c: b for b, c in enumerate(byte_symbols())}
         number = {bytes([b]): b for b in range(256)}
         raw = lambda s: bytes(back[c] for c in s)
