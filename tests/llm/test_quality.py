@@ -54,7 +54,7 @@ def brute_score(model, text, lang, source, n_chars):
     """The score of one document by definition, a feature at a time."""
     words = [w.lower() for w in quality.WORD.findall((text or "").lower())]
     n = len(words)
-    one = [np.log1p(n), len(set(words)) / max(n, 1), sum(a == b for a, b in zip(words, words[1:], strict=False)) / max(n - 1, 1), sum(map(len, words)) / max(n, 1)]
+    one = [np.log1p(n), len(set(words)) / max(n, 1), sum(a == b for a, b in zip(words, words[1:], strict=False)) / max(n - 1, 1), np.log1p(sum(map(len, words)) / max(n, 1))]
     one += [float(v in words) for v in model.vocabulary]
     two = quality.metadata((text or "").encode(), lang, source, n_chars)[model.columns]
     answer = []
@@ -81,10 +81,10 @@ def test_scores_against_brute_force(spark):
 
 def test_odd_rows_and_tables(spark):
     docs, labels, _ = corpus(120)
-    df, marks = frames(spark, [*docs, (900, None, None, None, None), (901, "", "en", "src1", 0), (901, "", "en", "src1", 0), (902, "w " * 60000, "en", "new", 120000)], [*labels, (None, 1, 0), (900, None, None), (5, 0, 1)])
+    df, marks = frames(spark, [*docs, (900, None, None, None, None), (901, "", "en", "src1", 0), (901, "", "en", "src1", 0), (902, "w " * 60000, "en", "new", 120000), (903, "x" * 200_000, "en", "new", 1 << 60)], [*labels, (None, 1, 0), (900, None, None), (5, 0, 1)])
     model, features = quality.fit(df, marks)
     got = quality.classify(df, marks, model=model).collect()
-    assert len(got) == features.count() == 124 and all(np.isfinite(r.score) for r in got)
+    assert len(got) == features.count() == 125 and all(np.isfinite(r.score) for r in got)
     same = [r.score for r in got if r.doc_id == 901]
     assert same[0] == same[1]
     assert quality.classify(df.limit(0), marks, model=model).count() == 0

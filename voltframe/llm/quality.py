@@ -67,7 +67,7 @@ def content(words: list[str], place: dict[str, int]) -> np.ndarray:
     """Measures of the words, then which words of the vocabulary occur."""
     out = np.zeros(_SHAPE + len(place), np.float32)
     n, kinds = len(words), set(words)
-    out[:_SHAPE] = (np.log1p(n), len(kinds) / max(n, 1), sum(map(eq, words, islice(words, 1, None))) / max(n - 1, 1), sum(map(len, words)) / max(n, 1))
+    out[:_SHAPE] = (np.log1p(n), len(kinds) / max(n, 1), sum(map(eq, words, islice(words, 1, None))) / max(n - 1, 1), np.log1p(sum(map(len, words)) / max(n, 1)))
     for w in kinds & place.keys():
         out[_SHAPE + place[w]] = 1
     return out
@@ -84,7 +84,7 @@ def metadata(text: bytes, lang: str | None, source: str | None, n_chars: int | N
         pairs = np.bincount(c[:-1] * _N + c[1:], minlength=_N * _N)
     square = pairs.reshape(_N, _N)
     lines, pieces = text.count(b"\n") + 1, square[4:6].sum() - square[4:6, 4:6].sum() + 1
-    out[2 * _BUCKETS : _PAGE] = (n_chars is None, np.log1p(max(n_chars or 0, 0)), np.log1p(len(text)), np.log1p(lines), np.log1p(pieces), len(text) / pieces, np.log1p(pieces / lines))
+    out[2 * _BUCKETS : _PAGE] = (n_chars is None, np.log1p(max(n_chars or 0, 0)), np.log1p(len(text)), np.log1p(lines), np.log1p(pieces), np.log1p(len(text) / pieces), np.log1p(pieces / lines))
     out[_PAGE:] = pairs / max(len(text) - 1, 1)
     return out
 
@@ -280,7 +280,7 @@ class Model:
         for i, t in enumerate(texts):
             one[i] = content(words_of(t), place)
             two[i] = metadata(t.encode("utf-8", "surrogatepass"), langs[i], sources[i], lengths[i])[self.columns]
-        # what is stored of them: a model sees the same numbers wherever they come from
+        # what is stored of them: a model sees the same numbers wherever they come from; counts are logarithms, which fit
         return [x.astype(np.float16).astype(np.float32) for x in (one, two)]
 
     def scores(self, xs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
