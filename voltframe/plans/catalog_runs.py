@@ -21,7 +21,7 @@ from ..functions.time import local_to_utc, parse_local, utc_text
 from ..operators.quality import declared_rule, reasons, validate
 from ..session import ensure
 from ..sources import live, multirecord
-from ..storage import Storage, below
+from ..storage import Storage, below, shared_folder
 from . import layers
 from .publish import published
 from .run import DEFAULT_LIVE_METADATA, DEFAULT_METADATA, RESOURCES, run
@@ -55,8 +55,14 @@ def query(columns: str, rows: list[tuple]):
 
 def scratch(spark: SparkSession) -> str:
     """A new folder that driver and executors share."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return below(shared, f"voltframe-{uuid.uuid4().hex}")
+    return below(shared_folder(spark), f"voltframe-{uuid.uuid4().hex}")
+
+
+def _settled(spark: SparkSession, rows: DataFrame, place: str) -> DataFrame:
+    """The few rows of a fixture, after the folder that they were read from has been removed."""
+    found = rows.collect()
+    Storage(spark).remove(place)
+    return spark.createDataFrame(found, rows.schema)
 
 
 def _fixture(spark: SparkSession):
@@ -277,8 +283,9 @@ def archive_records(spark):
     """Market rows of a multi-record CSV in a ZIP archive."""
     place = scratch(spark)
     Storage(spark).write(below(place, "a.zip"), _archive())
-    rows = multirecord.parse_archives(spark, below(place, "a.zip")).checkpoint() if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else multirecord.parse_archives(spark, below(place, "a.zip"))
-    return rows.select("region", "interval_datetime", F.col("demand_mw").alias("demand"), F.col("price_per_mwh").alias("price"), F.col("ingestion_sequence").alias("sequence"), F.array_join(F.col("source_line_numbers").cast("array<string>"), ",").alias("lines"))
+    rows = multirecord.parse_archives(spark, below(place, "a.zip"))
+    rows = rows.select("region", "interval_datetime", F.col("demand_mw").alias("demand"), F.col("price_per_mwh").alias("price"), F.col("ingestion_sequence").alias("sequence"), F.array_join(F.col("source_line_numbers").cast("array<string>"), ",").alias("lines"))
+    return _settled(spark, rows, place)
 
 
 @query("line BIGINT, file VARCHAR, region VARCHAR, price DOUBLE", [(1, "https://m.example/f/PUBLIC_DISPATCHIS_2.zip", "NSW1", 123.45), (2, "https://m.example/f/PUBLIC_DISPATCHIS_2.zip", "VIC1", 7.0)])
@@ -288,7 +295,8 @@ def live_acquisition(spark):
     pages = {"https://m.example/l/": b"<a href='/f/PUBLIC_DISPATCHIS_1.zip'> <A HREF=\"/f/PUBLIC_DISPATCHIS_2.zip\"> <a href='/f/Z.zip'>", "https://m.example/f/PUBLIC_DISPATCHIS_2.zip": _archive()}
     rows = live.read_source(spark, Source(definition, None), lambda url, policy: (200, pages[url]))
     record = parse_strict(F.col("raw_line"))
-    return rows.select(F.col("source_row_number").alias("line"), F.col("source_file").alias("file"), F.try_variant_get(record, "$.region", "string").alias("region"), F.try_variant_get(record, "$.price_per_mwh", "double").alias("price"))
+    rows = rows.select(F.col("source_row_number").alias("line"), F.col("source_file").alias("file"), F.try_variant_get(record, "$.region", "string").alias("region"), F.try_variant_get(record, "$.price_per_mwh", "double").alias("price"))
+    return _settled(spark, rows, definition["landing_volume_path"])
 
 
 @query(

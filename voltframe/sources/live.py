@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..contract import ContractError, Source, check_remote, need
-from ..storage import Storage, below
+from ..storage import Storage, below, shared_folder
 from .multirecord import parse_archives
 
 # The limits, the default pattern of archive names, and the error codes below.
@@ -111,13 +111,7 @@ def acquire(spark: SparkSession, definition: dict, landing: str, transport: Tran
 
 def landing_folder(spark: SparkSession, source: Source) -> str:
     """Where archives land: the definition's folder, or one beside the session's checkpoints, which all executors reach."""
-    if place := source.definition.get("landing_volume_path"):
-        return place
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        need(spark.sparkContext.master.startswith("local"), "NO_SHARED_LANDING_FOLDER")
-        shared = spark.conf.get("spark.sql.warehouse.dir")
-    return below(shared, "landing")
+    return source.definition.get("landing_volume_path") or below(shared_folder(spark), "landing")
 
 
 def read_source(spark: SparkSession, source: Source, transport: Transport = over_https) -> DataFrame:

@@ -5,6 +5,7 @@ and the executors share a disk, unless the place itself is a local one.
 """
 from __future__ import annotations
 
+import tempfile
 import uuid
 from dataclasses import dataclass
 from pathlib import Path
@@ -22,6 +23,16 @@ def below(place: str | Path, *parts: str) -> str:
     return "/".join([uri(place).rstrip("/"), *parts])
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share: the one that the session names, a temporary one only in local mode."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return uri(named)
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return uri(tempfile.mkdtemp(prefix="voltframe-"))
+
+
 @dataclass(frozen=True)
 class Storage:
     spark: SparkSession
