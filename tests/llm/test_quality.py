@@ -151,7 +151,9 @@ def test_pool_on_the_executors_covers_all_rows_and_teaches(spark):
     trainer = quality.Trainer([x[:200] for x in xs], y[:200], part)
     rows = [(i, i, bytes(a), bytes(b)) for i, (a, b) in enumerate(zip(*(quality._stored(x) for x in xs), strict=True))]
     features = spark.createDataFrame([(r[0], r[1], bytearray(r[2]), bytearray(r[3])) for r in rows + rows[:50]], quality._FEATURES).repartition(3)
-    given = quality.TablePool(features, (40, 40)).confident([trainer])[0]
+    given = quality.TablePool(features, None, (40, 40)).confident([trainer])[0]
+    fewer = quality.TablePool(features, features.filter("doc_id < 600").select("doc_id").distinct(), (40, 40)).confident([trainer])[0]
+    assert all(0 < len(f[1]) < len(g[1]) for f, g in zip(fewer, given, strict=True))
     for k in (0, 1):
         p = quality.sigmoid(trainer.views[k].logit(xs[k].astype(np.float16).astype(np.float32)))
         for label, sure in ((1, (p >= quality.CONFIDENT).sum()), (0, (p <= 1 - quality.CONFIDENT).sum())):

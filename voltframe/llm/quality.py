@@ -36,6 +36,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -308,7 +309,7 @@ def _extract(told):
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 one, two = (_stored(x) for x in m.features(*(batch.column(i).to_pylist() for i in range(1, 5))))
-                h = [zlib.crc32(b, zlib.crc32(a)) for a, b in zip(one, two, strict=True)]
+                h = [xxhash.xxh3_64_intdigest(a + b) - (1 << 63) for a, b in zip(one, two, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(h, pa.int64()), pa.array(one, pa.binary()), pa.array(two, pa.binary())], names=["doc_id", "h", "content", "metadata"])
 
     return run
@@ -317,40 +318,51 @@ def _extract(told):
 class TablePool:
     """All unlabelled documents, as a table of features on the executors."""
 
-    def __init__(self, features: DataFrame, widths: tuple[int, int]):
-        self.features, self.widths = features, widths
+    def __init__(self, features: DataFrame, labelled: DataFrame | None, widths: tuple[int, int]):
+        """labelled: the doc_ids that are left out, if any; features themselves are never shuffled."""
+        self.features, self.labelled, self.widths = features, labelled, widths
 
     def confident(self, trainers: list[Trainer]):
         told = self.features.sparkSession.sparkContext.broadcast([t.views for t in trainers])
-        widths = self.widths
+        widths, groups = self.widths, 4 * len(trainers)
 
         def sure(batches):
-            """h and group (head, view, label) of each document and view that is sure of it."""
+            """Of each document a bit for each group (head, view, label) that it may teach."""
             for batch in batches:
-                xs = [_read(batch.column(i + 1).to_pylist(), widths[i]) for i in (0, 1)]
-                h, out = batch.column(0).to_numpy(), []
+                xs = [_read(batch.column(i + 2).to_pylist(), widths[i]) for i in (0, 1)]
+                mask = np.zeros(batch.num_rows, np.int64)
                 for i, views in enumerate(told.value):
                     for k, view in enumerate(views):
                         p = sigmoid(view.logit(xs[k]))
-                        out += [(h[rows], np.full(len(rows), 4 * i + 2 * k + label)) for label, rows in ((1, np.flatnonzero(p >= CONFIDENT)), (0, np.flatnonzero(p <= 1 - CONFIDENT)))]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[0] for o in out]) if out else [], pa.int64()), pa.array(np.concatenate([o[1] for o in out]) if out else [], pa.int64())], names=["h", "given"])
-
-        found = self.features.select("h", "content", "metadata").mapInArrow(sure, "h long, given long").distinct().checkpoint()
-        counts = found.groupBy("given").agg(F.count("*").alias("n"))
-        # equal documents share h and are one; of each group about PSEUDO, by another hash of h
-        share = F.pmod(F.xxhash64(F.lit("share"), "h"), F.lit(1 << 40)) * F.col("n") < F.lit(PSEUDO) * F.lit(1 << 40).cast("double")
-        picked = found.join(F.broadcast(counts), "given").filter(share).groupBy("h").agg(F.collect_list("given").alias("given"))
-        rows = self.features.join(F.broadcast(picked), "h").groupBy("h").agg(F.first("given").alias("given"), F.min(F.struct("content", "metadata")).alias("x")).collect()
+                        mask |= ((p <= 1 - CONFIDENT).astype(np.int64) << (4 * i + 2 * k)) | ((p >= CONFIDENT).astype(np.int64) << (4 * i + 2 * k + 1))
+                kept = pa.array(mask > 0)
+                yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept), pa.array(mask[mask > 0])], names=["doc_id", "h", "mask"])
+
+        found = self.features.select("doc_id", "h", "content", "metadata").mapInArrow(sure, "doc_id long, h long, mask long")
+        if self.labelled is not None:
+            found = found.join(self.labelled, "doc_id", "left_anti")
+        found = found.select("h", "mask").distinct().checkpoint()  # equal documents share h and are one
+        has = lambda g: F.col("mask").bitwiseAND(F.lit(1 << g)) > 0
+        counts = found.agg(*[F.count_if(has(g)).alias(f"n{g}") for g in range(groups)]).first()
+        # of each group about PSEUDO, by another hash of h
+        place = F.pmod(F.xxhash64(F.lit("share"), "h"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+        chosen = F.lit(0).cast("bigint")
+        for g in range(groups):
+            chosen = chosen + F.when(has(g) & (place * float(counts[f"n{g}"]) < PSEUDO), F.lit(1 << g)).otherwise(F.lit(0))
+        picked = found.select("h", chosen.alias("given")).filter("given > 0")
+        # about groups * PSEUDO rows of two numbers are broadcast, and as many features reach the driver
+        rows = self.features.join(F.broadcast(picked), "h").groupBy("h").agg(F.bit_or("given").alias("given"), F.min(F.struct("content", "metadata")).alias("x")).collect()
         rows.sort(key=lambda r: r["h"])
         xs = [_read([bytes(r["x"][name]) for r in rows], width) for name, width in zip(("content", "metadata"), widths, strict=True)]
+        given = np.array([r["given"] for r in rows], np.int64)
         out = []
         for i in range(len(trainers)):
-            given = []
+            views = []
             for k in (0, 1):
-                mine = [(j, label) for j, r in enumerate(rows) for label in (0, 1) if 4 * i + 2 * k + label in r["given"]]
-                at = np.array([j for j, _ in mine], np.int64)
-                given.append(([x[at] for x in xs], np.array([label for _, label in mine], np.float64)))
-            out.append(given)
+                sides = [np.flatnonzero(given >> (4 * i + 2 * k + label) & 1) for label in (0, 1)]
+                at = np.concatenate(sides)
+                views.append(([x[at] for x in xs], np.repeat([0.0, 1.0], [len(side) for side in sides])))
+            out.append(views)
         return out
 
 
@@ -402,7 +414,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED,
     trainers = [Trainer([x[y >= 0] for x in xs], (y[y >= 0] > 0).astype(np.float64), part[y >= 0]) for y in marked.values()]
     told = spark.sparkContext.broadcast(model)
     features = docs.mapInArrow(_extract(told), _FEATURES).checkpoint()
-    pool = TablePool(features.join(marks.select("doc_id"), "doc_id", "left_anti"), (xs[0].shape[1], xs[1].shape[1]))
+    pool = TablePool(features, marks.select("doc_id"), (xs[0].shape[1], xs[1].shape[1]))
     for (name, y), head, none in zip(marked.items(), co_train(trainers, pool, rounds), (1.0, 0.0), strict=True):
         setattr(model, name, head if (y >= 0).any() else Head(rate=none))
     return model, features
